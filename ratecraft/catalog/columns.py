@@ -14,8 +14,8 @@ NUMERIC_WIDE = ("user_id, business_id, rating, latitude, longitude, round(stars,
                 + ", ".join(f"compliment_{k}" for k in COMPLIMENT_MODULI) + ", compliment_count")
 
 
-def rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def rounded(df, *columns, places=6):
+    return df.withColumns({c: F.round(c, places) for c in columns})
 
 
 def wide(v):
@@ -54,10 +54,11 @@ def drop(v):
 
 
 @query("prj_06_rename", uses="detail", sql="""
-    SELECT user_id, round(avg(latitude), 6) AS mean_lat, round(avg(longitude), 6) AS mean_long, max(date) AS last_date
+    SELECT user_id, round(avg(latitude), 8) AS mean_lat, round(avg(longitude), 8) AS mean_long, max(date) AS last_date
     FROM detail GROUP BY user_id""")
 def rename(v):
-    return rounded(discount.user_context(rel.with_business(v.ratings, v.business)), "mean_lat", "mean_long")
+    # Eight places: means of these coordinates often end in an exact 5 at the seventh.
+    return rounded(discount.user_context(rel.with_business(v.ratings, v.business)), "mean_lat", "mean_long", places=8)
 
 
 @query("prj_07_cast", uses="predictions", sql="""

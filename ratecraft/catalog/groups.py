@@ -17,10 +17,10 @@ def ratings_per_user(v):
 
 
 @query("agg_02_centroid", uses="detail", sql="""
-    SELECT user_id, round(avg(latitude), 6) AS mean_lat, round(avg(longitude), 6) AS mean_long
+    SELECT user_id, round(avg(latitude), 8) AS mean_lat, round(avg(longitude), 8) AS mean_long
     FROM detail GROUP BY user_id""")
 def centroid(v):
-    return rounded(rel.centroids(rel.with_business(v.ratings, v.business)), "mean_lat", "mean_long")
+    return rounded(rel.centroids(rel.with_business(v.ratings, v.business)), "mean_lat", "mean_long", places=8)
 
 
 @query("agg_03_latest_date", uses="ratings", sql="SELECT user_id, max(date) AS last_date FROM ratings GROUP BY user_id")

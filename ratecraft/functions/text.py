@@ -32,16 +32,23 @@ def without_stop_words(words: Column, stop_words: Sequence[str] = STOP_WORDS) ->
 
 
 def ngrams(words: Column, low: int = 1, high: int = 1) -> Column:
-    """All runs of ``low`` to ``high`` words, joined by one space."""
-    runs = []
-    for n in range(low, high + 1):
+    """All runs of ``low`` to ``high`` words, joined by one space.
+
+    The word list is bound to a lambda variable first: written into the inner function it
+    would be split anew for every position.
+    """
+    if (low, high) == (1, 1):
+        return words
+
+    def runs(w: Column, n: int) -> Column:
         if n == 1:
-            runs.append(words)
-            continue
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
+            return w
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(
             F.array().cast("array<int>"))
-        runs.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, F.lit(n)), " ")))
-    return runs[0] if len(runs) == 1 else F.concat(*runs)
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))
+
+    bound = F.transform(F.array(words), lambda w: F.concat(*(runs(w, n) for n in range(low, high + 1))))
+    return F.element_at(bound, 1)
 
 
 def terms_of(text: Column, ngram_range: tuple[int, int] = (1, 1),

@@ -62,8 +62,7 @@ def compare(spark_table, duck_table) -> str:
 
 
 def duck_result(con, sql: str):
-    result = con.execute(sql).arrow()
-    return result.read_all() if hasattr(result, "read_all") else result
+    return con.execute(sql).to_arrow_table()
 
 
 def main() -> int:
