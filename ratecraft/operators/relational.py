@@ -166,3 +166,15 @@ def known_items(interacted: DataFrame, content: DataFrame) -> DataFrame:
     return interacted.select(ITEM).union(content.select(ITEM)).distinct()
 
 
+
+
+def coordinates(encoded: DataFrame, major: str = "user") -> DataFrame:
+    """(row, col, value, mask) of the sparse user-item matrix; ``major="item"`` transposes it.
+
+    Absent pairs stay absent: the rating triples are the coordinate list.
+    """
+    if major not in ("user", "item"):
+        raise ValueError("major must be 'user' or 'item'")
+    row, col = (USER, ITEM) if major == "user" else (ITEM, USER)
+    return encoded.select(F.col(row).alias("row"), F.col(col).alias("col"), F.col(RATING).alias("value"),
+                          F.lit(1).alias("mask"))
