@@ -10,7 +10,7 @@ from ratecraft.catalog.registry import query
 from ratecraft.metrics import coverage, report
 from ratecraft.models.als import AlsModel
 from ratecraft.models.bias import BiasModel
-from ratecraft.models.content import ContentModel, mean_vectors
+from ratecraft.models.content import ContentModel, ContentVectors, mean_vectors
 from ratecraft.models.factor import LogisticModel, SvdppModel
 from ratecraft.models.neural import NeuralModel
 from ratecraft.operators import ranking, relational as rel
@@ -33,11 +33,9 @@ VIEWS["content_scored"] = ("reviews content_full", """
 
 def content_vectors(v):
     """Mean vectors of users and items, written once for the queries that score with them."""
-    model = ContentModel()
-    fitted = model.fit(v.reviews)
-    fitted.users = v.stored("user_terms", lambda: model.fit(v.reviews).users)
-    fitted.items = v.stored("item_terms", lambda: model.fit(v.reviews).items)
-    return fitted
+    weights = v.stored("review_weights", lambda: ContentModel().weights(v.reviews))
+    return ContentVectors(v.stored("user_terms", lambda: mean_vectors(weights, v.reviews, USER)),
+                          v.stored("item_terms", lambda: mean_vectors(weights, v.reviews, ITEM)))
 
 
 @query("agg_15_mean_vectors", uses="user_terms item_terms", sql="""

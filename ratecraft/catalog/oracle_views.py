@@ -128,7 +128,6 @@ def bias_scored(pairs: str, prefix: str) -> str:
 
 VIEWS |= bias_views("train", "bias")
 VIEWS["predictions"] = ("test bias_mu bias_u bias_i", bias_scored("test", "bias"))
-VIEWS["all_predictions"] = ("ratings bias_mu bias_u bias_i", bias_scored("ratings", "bias"))
 VIEWS["ranked"] = ("predictions", """
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(prediction, 6) DESC, business_id) AS rank
     FROM predictions""")

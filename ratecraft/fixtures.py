@@ -132,15 +132,6 @@ class Views:
             return BiasModel().fit(self.train).predict(self.test).select(*PAIR, "rating", "prediction")
         return self.stored("predictions", score)
 
-    @cached_property
-    def all_predictions(self) -> DataFrame:
-        """The same model scored on every rated pair, train and test: longer lists per user."""
-        from ratecraft.models.bias import BiasModel
-
-        def score() -> DataFrame:
-            return BiasModel().fit(self.train).predict(self.ratings).select(*PAIR, "rating", "prediction")
-        return self.stored("all_predictions", score)
-
 
 _open: dict[tuple[str, str], Views] = {}
 

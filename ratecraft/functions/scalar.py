@@ -63,9 +63,15 @@ def norm(vector: Column) -> Column:
 
 
 def unit(vector: Column) -> Column:
-    """The vector scaled to length 1; null for a zero vector."""
+    """The vector scaled to length 1; null for a zero vector.
+
+    Vector and length are bound to a lambda variable first: written into the inner
+    function the length would be worked out anew for every element.
+    """
     length = F.nullif(norm(vector), F.lit(0.0))
-    return F.transform(vector, lambda x: x / length)
+    pair = F.array(F.struct(vector.alias("v"), length.alias("n")))
+    scaled = F.transform(pair, lambda p: F.when(p["n"].isNotNull(), F.transform(p["v"], lambda x: x / p["n"])))
+    return F.element_at(scaled, 1)
 
 
 def cosine_distance(left: Column, right: Column) -> Column:

@@ -58,8 +58,13 @@ def terms_of(text: Column, ngram_range: tuple[int, int] = (1, 1),
 
 def term_counts(docs: DataFrame, key: Sequence[str], ngram_range: tuple[int, int] = (1, 1),
                 stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """(key..., term, tf) for every document; counted next to the scan before the shuffle."""
-    words = docs.select(*key, F.explode(terms_of(F.col("text"), ngram_range, stop_words)).alias("term"))
+    """(key..., term, tf) for every document; ``key[0]`` is unique per document.
+
+    The texts are spread by document first: long ones do not pile up in one scan task, and
+    the grouping by (document, term) then needs no shuffle of its own.
+    """
+    spread = docs.select(*key, "text").repartition(key[0])
+    words = spread.select(*key, F.explode(terms_of(F.col("text"), ngram_range, stop_words)).alias("term"))
     return words.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

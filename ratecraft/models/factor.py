@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ratecraft import ITEM, PAIR, PREDICTION, USER
 from ratecraft.functions.scalar import clip
 from ratecraft.operators.ranking import encode_ids
-from ratecraft.session import cut_lineage
+from ratecraft.session import cut_lineage, stored_copy
 
 _STEPS = 1 << 20
 
@@ -173,7 +173,7 @@ class LogisticModel:
 
     def fit_epochs(self, interactions: DataFrame, samples: DataFrame | None = None) -> Iterator[FittedLogistic]:
         """The model after each epoch of one training run."""
-        rows = cut_lineage(self.samples(interactions)) if samples is None else samples
+        rows = stored_copy(self.samples(interactions)) if samples is None else samples
         users = _start(rows.select(USER).distinct().withColumn("bu", F.lit(0.0)), USER, "p", self.factors, self.seed)
         items = _start(rows.select(ITEM).distinct().withColumn("bi", F.lit(0.0)), ITEM, "q", self.factors,
                        self.seed + 1)

@@ -18,7 +18,7 @@ from ratecraft.models.neural import NeuralModel
 from ratecraft.operators import ranking, relational as rel
 from ratecraft.operators.splits import cohorts, hash_split
 from ratecraft.plans.discount import discounted_detail, export_columns
-from ratecraft.session import cut_lineage
+from ratecraft.session import stored_copy
 
 
 @dataclass
@@ -49,22 +49,22 @@ def bias_job(train: DataFrame, test: DataFrame, model: BiasModel | None = None)
 
 
 def als_job(ratings: DataFrame, model: AlsModel | None = None) -> Outcome:
-    train, test = hash_split(cut_lineage(encoded(rel.triples(ratings))))
+    train, test = hash_split(stored_copy(encoded(rel.triples(ratings))))
     scored = (model or AlsModel()).fit(train).predict(test)
     return Outcome(train, test, scored.select(*PAIR, PREDICTION))
 
 
-def content_job(reviews: DataFrame, model: ContentModel | None = None) -> Outcome:
+def content_job(reviews: DataFrame, model: ContentModel | None = None, counts: DataFrame | None = None) -> Outcome:
     """Vectors come from all reviews, predictions cover train and test alike."""
-    scored = (model or ContentModel()).fit(reviews).predict(rel.triples(reviews))
+    scored = (model or ContentModel()).fit(reviews, counts).predict(rel.triples(reviews))
     train, test = hash_split(rel.triples(reviews))
-    return Outcome(train, test, cut_lineage(scored.select(*PAIR, PREDICTION)))
+    return Outcome(train, test, stored_copy(scored.select(*PAIR, PREDICTION)))
 
 
 def discounted_job(ratings: DataFrame, business: DataFrame, model: SvdppModel | None = None) -> Outcome:
     """SVD++ on the rating discounted by age and distance."""
     table = discounted_ratings(ratings, business).select(*PAIR, F.col("date_dist_rating").alias(RATING))
-    train, test = hash_split(cut_lineage(table))
+    train, test = hash_split(stored_copy(table))
     scored = (model or SvdppModel()).fit(train).predict(test)
     return Outcome(train, test, scored.select(*PAIR, PREDICTION))
 
@@ -87,7 +87,7 @@ def interaction_scores(fitted, train: DataFrame, test: DataFrame, k: int) -> Dat
     out = None
     for part, positives, exclude in (("train", train, None), ("test", test, train)):
         places, n_items = toplist.catalogue_places(fitted.users, fitted.items, positives, exclude, fitted.k)
-        places = cut_lineage(places)
+        places = stored_copy(places)
         auc = toplist.auc_by_factors(places, n_items)
         precision = toplist.precision_by_factors(places, n_items, k)
         row = auc.agg(F.avg("auc").alias(f"{part}_auc_mean"), F.stddev_pop("auc").alias(f"{part}_auc_std"))
@@ -98,5 +98,5 @@ def interaction_scores(fitted, train: DataFrame, test: DataFrame, k: int) -> Dat
 
 
 def interaction_job(ratings: DataFrame, model: LogisticModel | None = None, k: int = 100) -> DataFrame:
-    train, test = hash_split(cut_lineage(encoded(rel.triples(ratings))))
+    train, test = hash_split(stored_copy(encoded(rel.triples(ratings))))
     return interaction_scores((model or LogisticModel()).fit(train), train, test, k)
