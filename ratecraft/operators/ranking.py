@@ -27,15 +27,24 @@ def score_order(score: str, item: str = ITEM) -> list[Column]:
     return [F.round(F.col(score), 6).desc(), F.col(item).asc()]
 
 
-def positions(df: DataFrame, order: Sequence[Column], name: str = "position") -> tuple[DataFrame, int]:
+def positions(df: DataFrame, order: Sequence[Column], name: str = "position",
+              spread_equal: bool = False) -> tuple[DataFrame, int]:
     """0-based place of every row in the global order, and the number of rows.
 
+    ``spread_equal`` is for orders that leave many rows equal: those are told apart by a
+    row hash, and plain copies by a running number, so that ranges can cut between them.
+
     Range-partitioned sort; each partition then needs one number, the rows before it.
     The sorted rows are checkpointed first, because a recomputed sort may cut the
     ranges elsewhere.
     """
     spark = df.sparkSession
-    placed = cut_lineage(df.orderBy(*order).withColumn("_seq", F.monotonically_increasing_id()))
+    if spread_equal:
+        extra = {"_hash": F.xxhash64(*df.columns), "_copy": F.monotonically_increasing_id()}
+        sorted_rows = df.withColumns(extra).orderBy(*order, "_hash", "_copy").drop(*extra)
+    else:
+        sorted_rows = df.orderBy(*order)
+    placed = cut_lineage(sorted_rows.withColumn("_seq", F.monotonically_increasing_id()))
     part = F.shiftright("_seq", _ROW_BITS).cast("int")
     counts = sorted(placed.groupBy(part.alias("part")).count().collect())  # one row per partition
     offsets, total = [], 0
@@ -66,7 +75,8 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], nam
         return out.withColumn(size, F.count(F.lit(1)).over(W.partitionBy(*keys))) if size else out
 
     columns = {f"_o{i}": c for i, c in enumerate(order)} if ties else {}
-    placed, _ = positions(df.withColumns(columns), [*(F.col(k).asc() for k in keys), *order], "_pos")
+    placed, _ = positions(df.withColumns(columns), [*(F.col(k).asc() for k in keys), *order], "_pos",
+                          spread_equal=True)
     groups = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_size"))
     out = placed.join(groups, list(keys))
     if ties:

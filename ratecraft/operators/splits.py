@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft import ITEM, PAIR, RATING, USER
-from ratecraft.operators.ranking import latest_per_user
+from ratecraft.operators.ranking import latest_per_user, rank_within
 
 #: The cohort test sets, in the order of the report.
 COHORTS = ("test_least_items", "test_most_items", "test_mostrecent", "test_nonprolific_users",
@@ -45,10 +45,10 @@ def hash_sample(ratings: DataFrame, fraction: float) -> DataFrame:
 
 
 def leave_latest_out(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(train, test): test holds each user's latest rating, train all other rows."""
-    test = latest_per_user(ratings)
-    train = ratings.join(test.select(*PAIR, "date"), [*PAIR, "date"], "left_anti")
-    return train, test
+    """(train, test): test holds each user's latest rating, train all other rows, copies included."""
+    newest_first = [F.col("date").desc(), F.col(ITEM).desc(), F.col(RATING).desc()]
+    ranked = rank_within(ratings, [USER], newest_first, "_age")
+    return ranked.filter("_age > 1").drop("_age"), ranked.filter("_age = 1").drop("_age")
 
 
 def folds(ratings: DataFrame, k: int, name: str = "fold") -> DataFrame:
