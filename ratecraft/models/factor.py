@@ -2,9 +2,9 @@
 
 Each factor is a column of its own, so predictions and gradient sums stay in generated
 code. A step joins the samples with both tables, sums gradients per key (combined before
-the shuffle) and moves every key by ``lr * sum / (1 + lr * n)``: small groups follow the
-summed gradient, large ones its mean, which keeps hot keys stable. No factor table is
-collected; tables are checkpointed once per epoch.
+the shuffle) and moves every key by ``lr * sum / (1 + damping * lr * n)``: small groups
+follow the summed gradient, large ones a fraction of its mean, which keeps hot keys
+stable. No factor table is collected; tables are checkpointed once per epoch.
 """
 
 from __future__ import annotations
@@ -39,9 +39,10 @@ def _start(table: DataFrame, key: str, prefix: str, k: int, seed: int, scale: fl
     return table.withColumns(spread)
 
 
-def _moved(old: str, gradient: Column, n: Column, lr: float, reg: float) -> Column:
+def _moved(old: str, gradient: Column, n: Column, lr: float, reg: float, damping: float = 1.0) -> Column:
     value = F.col(old)
-    return (value + F.lit(lr) * (gradient - F.lit(reg) * n * value) / (F.lit(1.0) + F.lit(lr) * n)).alias(old)
+    step = F.lit(lr) * (gradient - F.lit(reg) * n * value) / (F.lit(1.0) + F.lit(damping * lr) * n)
+    return (value + step).alias(old)
 
 
 @dataclass
@@ -70,6 +71,8 @@ class SvdppModel:
     lr: float = 0.02
     reg: float = 0.02
     seed: int = 7
+    #: All parts of the prediction move at once, so each takes a fraction of its own best step.
+    damping: float = 8.0
 
     def fit(self, ratings: DataFrame, target: str = "rating") -> FittedSvdpp:
         k = self.factors
@@ -78,7 +81,9 @@ class SvdppModel:
         size = rows.groupBy(USER).agg(F.count(F.lit(1)).alias("n"))
         users = _start(size.select(USER, "n", (F.lit(1.0) / F.sqrt("n")).alias("root"), F.lit(0.0).alias("bu")),
                        USER, "p", k, self.seed)
-        items = rows.groupBy(ITEM).agg(F.count(F.lit(1)).alias("m")).withColumn("bi", F.lit(0.0))
+        # m ratings per item; c adds up the list lengths of its raters, for y moves with all items of a rater's list.
+        items = rows.join(size, USER).groupBy(ITEM).agg(
+            F.count(F.lit(1)).alias("m"), F.sum("n").alias("c")).withColumn("bi", F.lit(0.0))
         items = _start(_start(items, ITEM, "q", k, self.seed + 1), ITEM, "y", k, self.seed + 2)
         users, items = cut_lineage(users), cut_lineage(items)
         for _ in range(self.epochs):
@@ -96,7 +101,10 @@ class SvdppModel:
                                                for j in range(k)))
 
     def _epoch(self, rows, users, items, mean):
-        k, lr, reg = self.factors, self.lr, self.reg
+        k = self.factors
+
+        def move(old: str, gradient: Column, n: Column) -> Column:
+            return _moved(old, gradient, n, self.lr, self.reg, self.damping)
         error = (F.col("r") - (F.lit(mean) + F.col("bu") + F.col("bi") + _dot("q", "w", k))).alias("e")
         whole = self._combined(rows, users, items)
         scored = (rows.join(whole.select(USER, "bu", *_names("w", k)), USER)
@@ -105,8 +113,8 @@ class SvdppModel:
                                         *(F.sum(F.col("e") * F.col(f"q{j}")).alias(f"g{j}") for j in range(k)))
         known = cut_lineage(whole.join(pull, USER))
         n = F.col("n")
-        new_users = known.select(USER, "n", "root", _moved("bu", F.col("ge"), n, lr, reg),
-                                 *(_moved(f"p{j}", F.col(f"g{j}"), n, lr, reg) for j in range(k)))
+        new_users = known.select(USER, "n", "root", move("bu", F.col("ge"), n),
+                                 *(move(f"p{j}", F.col(f"g{j}"), n) for j in range(k)))
         # One pass over the items' raters: their errors, their vectors and their pull on the implicit factors.
         sides = known.select(USER, "bu", "root", *_names("w", k), *_names("g", k))
         met = (rows.join(sides, USER).join(items.select(ITEM, "bi", *_names("q", k)), ITEM)
@@ -117,9 +125,8 @@ class SvdppModel:
             *(F.sum(F.col("root") * F.col(f"g{j}")).alias(f"i{j}") for j in range(k)))
         m = F.col("m")
         new_items = items.join(push, ITEM).select(
-            ITEM, "m", _moved("bi", F.col("he"), m, lr, reg),
-            *(_moved(f"q{j}", F.col(f"h{j}"), m, lr, reg) for j in range(k)),
-            *(_moved(f"y{j}", F.col(f"i{j}"), m, lr, reg) for j in range(k)))
+            ITEM, "m", "c", move("bi", F.col("he"), m), *(move(f"q{j}", F.col(f"h{j}"), m) for j in range(k)),
+            *(move(f"y{j}", F.col(f"i{j}"), F.col("c")) for j in range(k)))
         return new_users, cut_lineage(new_items)
 
 
