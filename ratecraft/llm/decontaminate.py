@@ -4,7 +4,9 @@ Texts are folded: lower case, and everything but letters and digits is one space
 passages of about ``PASSAGE`` characters that overlap by half; a passage of n characters may differ by
 ``n // PER_ERROR`` edits. Cut into that number plus one pieces, one piece at least is unharmed wherever
 the passage occurs within its budget. One pass over a document (Aho-Corasick) finds all pieces, and
-the text around each is compared with the passage by Myers' bit-parallel edit distance.
+the text around each is compared with the passage by Myers' bit-parallel edit distance: first 64 characters
+of the passage around the piece, for many hits at once in 64-bit arrays (a part of a passage is never
+farther from the text than the whole), then the whole passage where that part was near enough.
 
 Test items are taken in blocks of ``BLOCK`` passages; a block's pieces have a bounded size, so each block
 is sent to all tasks, which read the documents once per block.
@@ -16,6 +18,7 @@ import re
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +32,19 @@ PER_ERROR = 10
 LEAST = 40
 BLOCK = 10_000
 
+#: Characters of a passage that the first comparison looks at, and hits that it takes at once.
+WORD = 64
+HITS = 16_384
+
 _fold = re.compile(r"[\W_]+").sub
+_ascii = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
 
 
 def folded(text: str) -> str:
-    return _fold(" ", text.lower()).strip()
+    text = text.lower()
+    if text.isascii():  # the same, faster
+        return b" ".join(text.encode().translate(_ascii).split()).decode()
+    return _fold(" ", text).strip()
 
 
 def passages(item: str, size: int = PASSAGE) -> list[str]:
@@ -86,6 +97,28 @@ def nearest(pattern: str, where: dict[str, int], text: str) -> tuple[int, int]:
     return best, end
 
 
+def distances(eq: np.ndarray, rows: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Least edit distance of pattern ``rows[i]`` to any part of text ``codes[i]``, for all i side by side.
+
+    ``eq[pattern, code]`` has a bit for each place of the pattern that holds the character; ``sizes`` are the
+    patterns' lengths, 64 at most.
+    """
+    top = np.uint64(1) << (sizes - 1).astype(np.uint64)
+    plus, minus = np.full(len(rows), ~np.uint64(0)), np.zeros(len(rows), dtype=np.uint64)
+    score = sizes.astype(np.int64)
+    best = score.copy()
+    one = np.uint64(1)
+    for j in range(codes.shape[1]):
+        e = eq[rows, codes[:, j]]
+        zero = (((e & plus) + plus) ^ plus) | e | minus
+        up, down = minus | ~(zero | plus), plus & zero
+        score += ((up & top) != 0).astype(np.int64) - ((down & top) != 0)
+        np.minimum(best, score, out=best)
+        up, down = up << one, down << one
+        plus, minus = down | ~(zero | up), up & zero
+    return best
+
+
 class Finder:
     """All passages of one block of items."""
 
@@ -94,37 +127,77 @@ class Finder:
 
         self.rows = [(item, text, budget(text), masks(text)) for item, text in rows]
         self.automaton = ahocorasick.Automaton()
-        found: dict[str, list[tuple[int, int]]] = {}
+        found: dict[str, list[tuple[int, int, int]]] = {}
+        parts: list[tuple[int, str]] = []
+        numbers: dict[tuple[int, int], int] = {}
         for n, (_, text, errors, _) in enumerate(self.rows):
             for start, piece in pieces(text if errors else f" {text} ", errors):
-                found.setdefault(piece, []).append((n, start))
+                # The characters around the piece; an item that must occur as it is has only itself.
+                left = min(max(0, start - (WORD - len(piece)) // 2), max(0, len(text) - WORD))
+                part = numbers.setdefault((n, left), len(parts))
+                if part == len(parts):
+                    parts.append((left, text[left:left + WORD]))
+                found.setdefault(piece, []).append((n, start, part))
         for piece, uses in found.items():
             self.automaton.add_word(piece, (len(piece), uses))
         if found:
             self.automaton.make_automaton()
         self.empty = not found
+        letters = sorted({c for _, part in parts for c in part})
+        self.code = np.zeros(0x110000, dtype=np.uint16 if len(letters) < 65_000 else np.uint32)
+        self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        number = {c: i for i, c in enumerate(letters, 1)}
+        self.eq = np.zeros((len(parts), len(letters) + 1), dtype=np.uint64)
+        for i, (_, part) in enumerate(parts):
+            for c, bits in masks(part).items():
+                self.eq[i, number[c]] = bits
+        self.left = np.array([left for left, _ in parts], dtype=np.int64)
+        self.size = np.array([len(part) for _, part in parts], dtype=np.int64)
+        self.errors = np.array([row[2] for row in self.rows], dtype=np.int64)
 
     def find(self, text: str) -> dict[int, tuple[int, int, int]]:
-        """item -> (distance, start, end) of its best passage; start and end in the folded text."""
-        out: dict[int, tuple[int, int, int]] = {}
-        seen: set[tuple[int, int]] = set()
-        text = f" {folded(text)} "
-        if self.empty or len(text) <= 2:
+        return self.find_all([text])[0]
+
+    def find_all(self, texts: list[str]) -> list[dict[int, tuple[int, int, int]]]:
+        """Per text: item -> (distance, start, end) of its best passage; start and end in the folded text."""
+        out: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+        if self.empty:
             return out
-        for last, (width, uses) in self.automaton.iter(text):
-            for n, start in uses:
+        texts = [f" {folded(t)} " for t in texts]
+        held: list[tuple[int, int, int, int]] = []
+        for d, text in enumerate(texts):
+            seen: set[tuple[int, int]] = set()
+            for last, (width, uses) in self.automaton.iter(text):
+                for n, start, part in uses:
+                    at = last + 1 - width - start
+                    if (n, at) not in seen:
+                        seen.add((n, at))
+                        held.append((d, n, at, part))
+        codes = self.code[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)] if held else None
+        ends = np.cumsum([len(t) for t in texts])
+        for i in range(0, len(held), HITS):
+            for d, n, at, _ in self._near(held[i:i + HITS], codes, ends):
                 item, passage, errors, where = self.rows[n]
-                at = last + 1 - width - start
-                if (n, at) in seen:
-                    continue
-                seen.add((n, at))
                 low = max(0, at - errors)
-                distance, end = nearest(passage, where, text[low:at + len(passage) + errors + (2 if not errors else 0)])
+                distance, end = nearest(passage, where, texts[d][low:at + len(passage) + errors + (2 if not errors else 0)])
                 if distance <= errors:
                     hit = (distance, max(0, low + end - len(passage) - 1), low + end - 1)
-                    out[item] = min(out.get(item, hit), hit)
+                    out[d][item] = min(out[d].get(item, hit), hit)
         return out
 
+    def _near(self, hits: list[tuple[int, int, int, int]], codes: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Those hits whose part of the passage is within the budget of the text around."""
+        d, n, at, part = np.array(hits, dtype=np.int64).T
+        errors = self.errors[n]
+        begin = np.concatenate([[0], ends[:-1]])[d]
+        first = begin + at + self.left[part] - errors
+        length = self.size[part] + 2 * errors + 2
+        place = first[:, None] + np.arange(int(length.max()))
+        inside = (place >= begin[:, None]) & (place < ends[d][:, None])
+        around = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], 0)
+        best = distances(self.eq, part, self.size[part], around)
+        return [hits[i] for i in np.flatnonzero(best <= errors)]
+
 
 SCHEMA = "doc_id long, item_id long, distance long, start long, end long"
 
@@ -135,8 +208,8 @@ def _find(rows: list[tuple[int, str]]) -> Callable[[Iterator[pa.RecordBatch]], I
         for batch in batches:
             for part in slices(batch):
                 out: list[tuple] = []
-                for doc_id, text in zip(part.column(0).to_pylist(), text_of(part.column(1)), strict=True):
-                    out += [(doc_id, item, *hit) for item, hit in sorted(finder.find(text).items())]
+                for doc_id, found in zip(part.column(0).to_pylist(), finder.find_all(text_of(part.column(1))), strict=True):
+                    out += [(doc_id, item, *hit) for item, hit in sorted(found.items())]
                 columns = zip(*out) if out else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                                  [x.split()[0] for x in SCHEMA.split(", ")])
@@ -185,7 +258,7 @@ def _clean(rows: list[tuple[int, str]]) -> Callable[[Iterator[pa.RecordBatch]],
         for batch in batches:
             at = batch.schema.get_field_index("text")
             for part in slices(batch):
-                yield part.filter(pa.array([not finder.find(t) for t in text_of(part.column(at))], pa.bool_()))
+                yield part.filter(pa.array([not found for found in finder.find_all(text_of(part.column(at)))], pa.bool_()))
     return kernel
 
 

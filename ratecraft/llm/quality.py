@@ -24,8 +24,10 @@ from ratecraft.llm.common import packed, slices, text_of, unpacked
 from ratecraft.session import stored_copy
 
 ORDER = 4
-#: Documents up to this quantile of their language's trusted documents are kept.
-QUANTILE = 0.995
+#: Documents up to this quantile of their language's trusted documents are kept, with ``SLACK`` more loss per
+#: character allowed. One trusted document in ``CALIBRATION`` is not trained on but sets the quantile:
+#: texts that the model knows would set it too low for others.
+QUANTILE, SLACK, CALIBRATION = 0.995, 0.05, 5
 #: A document counts as that many more characters of its language's mean, so that short ones do not vary freely.
 PRIOR = 200.0
 SHARD_ROWS = 2_000_000
@@ -280,13 +282,16 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER, quantile:
     """
     docs = docs.select("doc_id", "lang", "text")
     marked = trusted_ids.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct()
-    trusted = docs.join(marked, F.col("doc_id") == F.col("_id"), "left_semi")
-    found = stored_copy(scored(docs, model_rows(trusted, order), order, shard_rows), "scored")
-    known = found.join(marked, F.col("doc_id") == F.col("_id"), "left_semi").filter("chars > 0")
+    marked = marked.withColumn("_held", F.crc32(F.col("_id").cast("string")) % CALIBRATION == 0)
+    trained = docs.join(marked.filter("not _held"), F.col("doc_id") == F.col("_id"), "left_semi")
+    found = stored_copy(scored(docs, model_rows(trained, order), order, shard_rows), "scored")
+    known = found.join(marked, F.col("doc_id") == F.col("_id")).filter("chars > 0")
     mean = known.groupBy("lang").agg((-F.sum("logp") / F.sum("chars")).alias("mean"))
     loss = (-F.col("logp") + prior * F.col("mean")) / (F.col("chars") + prior)
+    # A language without a held-out document takes all its trusted ones.
+    at = lambda rows: F.percentile_approx(F.when(rows, F.col("loss")), quantile, 10_000)
     limits = (known.join(mean, "lang").withColumn("loss", loss).groupBy("lang", "mean")
-              .agg(F.percentile_approx("loss", quantile, 10_000).alias("limit")))
+              .agg((F.coalesce(at(F.col("_held")), at(F.lit(True))) + SLACK).alias("limit")))
     overall = limits.agg(F.max("limit").alias("limit"), F.avg("mean").alias("mean")).first()
     judged = found.join(limits, "lang", "left")
     judged = judged.withColumns({"mean": F.coalesce("mean", F.lit(overall["mean"]).cast("double")),

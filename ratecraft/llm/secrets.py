@@ -32,6 +32,8 @@ RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: A run is random if its log-likelihood ratio is at least so much per character.
 PER_CHARACTER = 0.5
+#: Pseudo-counts with which ordinary text falls back on single characters.
+BACKOFF = 20.0
 #: Bounds of the labelled samples: documents for ordinary words, and documents with base spans.
 WORD_DOCS, SECRET_DOCS = 4_000, 20_000
 MARK = "[secret]"
@@ -85,7 +87,7 @@ def fit(docs: DataFrame, word_docs: int = WORD_DOCS, secret_docs: int = SECRET_D
 
     Random strings: access and hex spans and the values of assignments, from about ``secret_docs`` of the
     documents that have any. Ordinary identifiers: the words of about ``word_docs`` documents. An empty
-    table gives ratios of smoothed uniform models, all 0.
+    table gives ratios of two uniform models, all 0.
     """
     docs = docs.select("doc_id", "text").filter("text is not null")
     n = max(1, docs.count())
@@ -100,15 +102,25 @@ def fit(docs: DataFrame, word_docs: int = WORD_DOCS, secret_docs: int = SECRET_D
                       F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
     secret = (with_secret.filter(hash_share(["doc_id", "text"], secret_docs / m)).select(F.explode(values).alias("token"))
               .filter((F.char_length("token") >= ASSIGN_LEAST) & F.rlike("token", F.lit("[0-9]"))))
-    random, ordinary = _transitions(secret), _transitions(words)
+    random, ordinary = _model(_transitions(secret), None), _model(_transitions(words), BACKOFF)
+    return [round(math.log(x) - math.log(y), 5) for x, y in zip(random, ordinary)]
+
+
+def _model(counts: dict[str, int], backoff: float | None) -> list[float]:
+    """Probabilities of each character after each other one (or none), all above 0.
+
+    Ordinary text falls back on its single characters, by ``backoff`` pseudo-counts; random strings, of which
+    few may be known, on even chances for half of the weight.
+    """
+    single = [1 + sum(counts.get(before + c, 0) for before in " " + ALPHABET) for c in ALPHABET]
     out = []
-    size = len(ALPHABET)
     for before in " " + ALPHABET:
-        a = [random.get(before + c, 0) for c in ALPHABET]
-        b = [ordinary.get(before + c, 0) for c in ALPHABET]
-        # Pulled towards a uniform distribution by as many counts as there are characters.
-        out += [math.log((x + 1) / (sum(a) + size)) - math.log((y + 1) / (sum(b) + size)) for x, y in zip(a, b)]
-    return [round(x, 5) for x in out]
+        n = [counts.get(before + c, 0) for c in ALPHABET]
+        if backoff is None:
+            out += [0.5 * (x + 1) / (sum(n) + len(n)) + 0.5 / len(n) for x in n]
+        else:
+            out += [(x + backoff * s / sum(single)) / (sum(n) + backoff) for x, s in zip(n, single)]
+    return out
 
 
 def log_ratio(token: Column, ratios: list[float]) -> Column:

@@ -92,7 +92,8 @@ def _deal(radius: int, sizes: dict[int, tuple[int, int]]) -> Callable[[Iterator[
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = np.zeros((17 ** 4, 2), dtype=np.int64)
-        chunks[list(sizes)] = list(sizes.values())
+        for tile, size in sizes.items():
+            chunks[tile] = size
         for batch in batches:
             fps = batch.column(0).to_numpy().view(np.uint64)
             counts = quarter_counts(fps)

@@ -162,14 +162,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch_of(rows)
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(type, page, digest, refers_to, block) of every whole record below ``path``.
+def put_together(found: DataFrame) -> DataFrame:
+    """(type, page, digest, refers_to, block) of every whole record among ``found``, records and segments.
 
-    Segments are put together by the id of the record they continue. Where numbers are missing or double or
-    the total length is not that of the parts, the block is null.
+    Segments are grouped by the id of the record they continue. Where numbers are missing or double or the
+    total length is not that of the parts, the block is null.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    found = files.mapInArrow(_read, _RECORD)
     plain = ["type", "page", "digest", "refers_to", "block"]
     alone = found.filter("segment is null").select(*plain)
     parts = (found.filter("segment is not null").groupBy("origin")
@@ -181,6 +179,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return alone.unionByName(whole.select(*plain))
 
 
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """(type, page, digest, refers_to, block) of every whole record of the archives below ``path``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    return put_together(files.mapInArrow(_read, _RECORD))
+
+
 _PAGE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
