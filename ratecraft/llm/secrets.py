@@ -86,7 +86,8 @@ def fit(docs: DataFrame, word_docs: int = WORD_DOCS, secret_docs: int = SECRET_D
     """Log-likelihood ratios, random over ordinary, of each character after each other one (or none).
 
     Random strings: access and hex spans and the values of assignments, from about ``secret_docs`` of the
-    documents that have any. Ordinary identifiers: the words of about ``word_docs`` documents. An empty
+    documents that have any. Ordinary identifiers: the words of about ``word_docs`` documents, but for runs
+    long enough to be judged that have a digit. An empty
     table gives ratios of two uniform models, all 0.
     """
     docs = docs.select("doc_id", "text").filter("text is not null")
@@ -95,7 +96,9 @@ def fit(docs: DataFrame, word_docs: int = WORD_DOCS, secret_docs: int = SECRET_D
     words = (docs.filter(hash_share(["doc_id", "text"], word_docs / n))
              .select(F.explode(F.split(F.regexp_replace("text", ASSIGN, " "), r"\s+")).alias("word"))
              .filter(~F.rlike("word", F.lit(f"{ACCESS}|{HEX}")))
-             .select(F.regexp_extract("word", token, 0).alias("token")).filter("token <> ''"))
+             .select(F.regexp_extract("word", token, 0).alias("token")).filter("token <> ''")
+             # What is to be judged is no label for itself.
+             .filter(~((F.char_length("token") >= LEAST) & F.rlike("token", F.lit("[0-9]")))))
     with_secret = docs.filter(F.rlike("text", F.lit(f"(?:{ACCESS}|{HEX})")) | F.rlike("text", F.lit(ASSIGN)))
     m = max(1, with_secret.count())
     values = F.concat(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
