@@ -3,6 +3,7 @@
 The kernel of two words sums over the three-letter subsequences they share, with ``DECAY`` for each letter
 that a subsequence skips, and is normalised to 1 for equal words; marks at both ends of a word count as
 letters. Inserted characters and gaps thus lower the similarity to an insult but do not hide it.
+A form of a word is compared once and remembered.
 Landmarks are the words of the training sample that tell toxic from clean texts best; a text is
 described by its closest word to each landmark, the Nystroem map of the landmarks' own kernel makes
 these similarities coordinates, and a linear machine with a calibrated score decides.
@@ -26,12 +27,18 @@ from ratecraft.session import stored_copy
 #: Bound of the sample of labelled rows: toxic, clean.
 SAMPLE = (4000, 8000)
 LANDMARKS = 160
-DECAY = 0.5
+DECAY = 0.6
 #: Similarities up to here count as none.
-FLOOR = 0.45
+FLOOR = 0.4
+#: Landmarks at least so similar share a group in the bound that sorts words out.
+GROUPED = 0.25
+#: Penalty on the machine's weights.
+PENALTY = 0.1
+#: Toxic rows are also learnt with their similarities weakened to this share, as disguise weakens them, at half weight.
+DISGUISE = 0.6
 THRESHOLD = 0.7
 #: Words that a Python worker remembers; beyond that it starts anew.
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 1_000_000
 
 _PATTERNS = [(a, b) for b in range(2, 5) for a in range(1, b)]
 _FIRST, _LAST = 62, 63
@@ -59,27 +66,32 @@ def _code(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 35
 
 
+_codes: list[np.ndarray] = []
+
+
 def encoded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Letter codes of all words in one array, and the word each belongs to; four zeros part the words."""
-    codes: list[int] = []
-    for w in words:
-        codes += [_FIRST, *map(_code, w), _LAST, 0, 0, 0, 0]
-    flat = np.array(codes, dtype=np.int64)
-    return flat, np.repeat(np.arange(len(words)), [len(w) + 6 for w in words])
+    if not _codes:
+        _codes.append(np.array([0, _FIRST, _LAST, *(_code(chr(i)) for i in range(3, 0x110000))], dtype=np.int64))
+    joined = "\x01" + "\x02\0\0\0\0\x01".join(words) + "\x02\0\0\0\0"
+    flat = _codes[0][np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+    return flat, np.cumsum(flat == _FIRST) - 1
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, subsequence, weight), one entry for each occurrence, ordered by word."""
-    flat, owner = encoded(words)
-    word, what, weight = [], [], []
+def triples(flat: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(word, subsequence, weight) of every occurrence, one way of skipping letters after the other."""
     for a, b in _PATTERNS:
         n = max(0, len(flat) - b)
-        first, second, third = flat[:n], flat[a:a + n], flat[b:b + n]
-        real = np.flatnonzero((first > 0) & (second > 0) & (third > 0) & (owner[:n] == owner[b:b + n]))
-        word.append(owner[real])
-        what.append((first[real] << 12) | (second[real] << 6) | third[real])
-        weight.append(np.full(len(real), DECAY ** (b - 2), dtype=np.float32))
-    word, what, weight = map(np.concatenate, (word, what, weight))
+        # Four zeros stand between words, so letters b apart are of one word.
+        real = np.flatnonzero((flat[:n] > 0) & (flat[a:a + n] > 0) & (flat[b:b + n] > 0))
+        yield owner[real], (flat[real] << 12) | (flat[real + a] << 6) | flat[real + b], DECAY ** (b - 2)
+
+
+def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, subsequence, weight), one entry for each occurrence, ordered by word."""
+    found = list(triples(*encoded(words)))
+    word, what = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    weight = np.repeat(np.array([f[2] for f in found], dtype=np.float32), [len(f[0]) for f in found])
     order = np.argsort(word, kind="stable")
     return word[order], what[order], weight[order]
 
@@ -103,43 +115,75 @@ class Kernel:
         self.table /= np.maximum(norms(word, what, weight, self.m), 1e-9).astype(np.float32)
         self.row = np.zeros(1 << 18, dtype=np.int32)
         self.row[rows] = np.arange(1, len(rows) + 1)
+        self.bound = self._bounds()
         self.seen: set[str] = set()
+        self.seen_forms: set[str] = set()
         self.close: dict[str, np.ndarray] = {}
+        self.close_forms: dict[str, np.ndarray] = {}
+
+    def _bounds(self) -> np.ndarray:
+        """Each subsequence's largest part in any landmark of a group, for groups of landmarks that are alike."""
+        alike = self.table.T @ self.table
+        group, heads = np.zeros(self.m, dtype=np.int64), []
+        for i in range(self.m):
+            near = [alike[i, h] for h in heads]
+            if not heads or max(near) < GROUPED:
+                heads.append(i)
+                group[i] = len(heads) - 1
+            else:
+                group[i] = int(np.argmax(near))
+        return np.stack([self.table[:, group == g].max(axis=1) for g in range(len(heads))], axis=1)
 
     def similarity(self, words: list[str]) -> np.ndarray:
-        word, what, weight = subsequences(words)
+        """Similarity of each word to each landmark, from 0 (at ``FLOOR`` or less) to 1."""
         out = np.zeros((len(words), self.m), dtype=np.float32)
-        row = self.row[what]
-        hit = np.flatnonzero(row)
-        if len(hit):
-            start = np.flatnonzero(np.diff(word[hit], prepend=-1))
-            out[word[hit][start]] = np.add.reduceat(self.table[row[hit]] * weight[hit, None], start, axis=0)
-            # The norm is at least that of single occurrences: most words fail already by it.
-            least = np.sqrt(np.bincount(word, weight * weight, minlength=len(words)))
-            near = np.flatnonzero(out.max(axis=1) > FLOOR * least)
-            exact = np.ones(len(words))
-            if len(near):
-                chosen = np.isin(word, near)
-                exact[near] = norms(word[chosen], what[chosen], weight[chosen], len(words))[near]
-            far = np.ones(len(words), dtype=bool)
-            far[near] = False
-            out[far] = 0
-            out /= np.maximum(exact, 1e-9)[:, None].astype(np.float32)
+        near = self.near(words)
+        height = len(self.table)
+        for at in range(0, len(near), 512):
+            chosen = near[at:at + 512]
+            word, what, weight = subsequences([words[i] for i in chosen])
+            counts = np.bincount(word * height + self.row[what], weight, minlength=len(chosen) * height)
+            total = counts.astype(np.float32).reshape(-1, height) @ self.table  # row 0 of the table is 0
+            norm = np.maximum(norms(word, what, weight, len(chosen)), 1e-9).astype(np.float32)
+            out[chosen] = total / norm[:, None]
         return np.maximum(0, (out - FLOOR) / (1 - FLOOR))
 
+    def near(self, words: list[str]) -> np.ndarray:
+        """Words that may be above ``FLOOR``: most fail by two bounds.
+
+        In no group of landmarks is a word's kernel larger than the sum over its subsequences of their largest
+        part in the group, and the norm of a word is no smaller than if its subsequences were all different.
+        """
+        out = [np.zeros(0, dtype=np.int64)]
+        for at in range(0, len(words), 4096):
+            part = words[at:at + 4096]
+            word, what, weight = subsequences(part)
+            row = self.row[what]
+            hit = np.flatnonzero(row)
+            if len(hit):
+                start = np.flatnonzero(np.diff(word[hit], prepend=-1))
+                most = np.add.reduceat(self.bound[row[hit]] * weight[hit, None], start, axis=0).max(axis=1)
+                least = np.sqrt(np.bincount(word, weight * weight, minlength=len(part)))
+                owner = word[hit][start]
+                out.append(owner[most > FLOOR * least[owner]] + at)
+        return np.concatenate(out)
+
     def learn(self, new: set[str]) -> None:
         if len(self.seen) > CACHED_WORDS:
-            self.seen.clear()
-            self.close.clear()
-            # The batch at hand may need old words again: they are looked up anew.
+            for held in (self.seen, self.seen_forms, self.close, self.close_forms):
+                held.clear()
         new = new - self.seen
-        read = [(u, f[:64]) for u in sorted(new) for f in forms(u)]
-        for at in range(0, len(read), 20_000):
-            part = read[at:at + 20_000]
-            found = self.similarity([f for _, f in part])
-            for i in np.flatnonzero(found.any(axis=1)):
-                u = part[i][0]
-                self.close[u] = np.maximum(self.close[u], found[i]) if u in self.close else found[i].copy()
+        read = {u: [f[:64] for f in forms(u)] for u in new}
+        fresh = sorted({f for fs in read.values() for f in fs} - self.seen_forms)
+        for at in range(0, len(fresh), 20_000):
+            part = fresh[at:at + 20_000]
+            found = self.similarity(part)
+            self.close_forms.update((part[i], found[i].copy()) for i in np.flatnonzero(found.any(axis=1)))
+        self.seen_forms.update(fresh)
+        for u, fs in read.items():
+            rows = [self.close_forms[f] for f in fs if f in self.close_forms]
+            if rows:
+                self.close[u] = rows[0] if len(rows) == 1 else np.max(rows, axis=0)
         self.seen |= new
 
     def describe(self, texts: list[str]) -> np.ndarray:
@@ -166,7 +210,7 @@ def kernel_of(landmarks: list[str]) -> Kernel:
     return _kernels[key]
 
 
-def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     """Linear support vector machine with squared hinge loss, by Newton steps; the last weight is the offset."""
     x = np.hstack([x, np.ones((len(x), 1))])
     ridge = np.eye(x.shape[1]) * penalty
@@ -251,7 +295,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, la
     own, axes = np.linalg.eigh(kernel_of(chosen).similarity(chosen).astype(np.float64) + 1e-3 * np.eye(len(chosen)))
     large = own > 1e-2
     nystroem = axes[:, large] / np.sqrt(own[large])
-    w = machine(x @ nystroem, y, weight)
+    toxic = y > 0
+    w = machine(np.vstack([x, DISGUISE * x[toxic]]) @ nystroem, np.append(y, y[toxic]), np.append(weight, 0.5 * weight[toxic]))
     slope, offset = calibration(x @ nystroem @ w[:-1] + w[-1], y, weight)
     return packed(landmarks=np.array(chosen), weight=nystroem @ w[:-1] * slope, offset=np.array(w[-1] * slope + offset))
 
