@@ -22,12 +22,11 @@ def _of_discounted(*columns):
     return {"uses": "discounted", "sql": f"SELECT user_id, business_id, {shown} FROM discounted"}
 
 
-# Many of these distances end in an exact 5 at the seventh place; the billionth settles which way they round.
 @query("fn_01_squared_distance", uses="discounted", sql="""
-    SELECT user_id, business_id, round(distance + 1e-9, 6) AS distance FROM discounted""")
+    SELECT user_id, business_id, round(distance, 8) AS distance FROM discounted""")
 def squared_distance(v):
     detail = discount.discounted_detail(v.ratings, v.business)
-    return detail.select(*PAIR, F.round(F.col("distance") + F.lit(1e-9), 6).alias("distance"))
+    return detail.select(*PAIR, F.round("distance", 8).alias("distance"))
 
 
 @query("fn_02_age_in_months", **_of_discounted("date_diff"))

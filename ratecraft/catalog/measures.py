@@ -151,6 +151,20 @@ def macro_scores(v):
                    "precision", "recall", "fscore")
 
 
+@query("met_04_weighted_scores", _CLASSES + """
+    SELECT round(sum(precision * support) / sum(support), 6) AS precision, round(sum(recall * support) / sum(support), 6) AS recall,
+           round(sum(fscore * support) / sum(support), 6) AS fscore FROM scores""", "predictions interactions")
+def weighted_scores(v):
+    return rounded(accuracy.weighted_scores(accuracy.class_scores(v.interactions, v.predictions)), *accuracy.SCORES)
+
+
+@query("met_04_micro_scores", _CLASSES + """
+    , share AS (SELECT round(sum(hits) / CAST(sum(support) AS DOUBLE), 6) AS x FROM s)
+    SELECT x AS precision, x AS recall, x AS fscore FROM share""", "predictions interactions")
+def micro_scores(v):
+    return rounded(accuracy.micro_scores(accuracy.class_scores(v.interactions, v.predictions)), *accuracy.SCORES)
+
+
 @query("met_05_precision_at_n", **one_row("m_precision10", "precision_at_n"))
 def precision_at_n(v):
     return rounded(accuracy.precision_at_n(v.test, v.predictions, 10), "precision_at_n")
@@ -265,8 +279,17 @@ def standard_report(v):
     return rounded(report.standard_report(v.train, v.test, v.predictions, "bias"), *report.STANDARD)
 
 
-_FULL = ("m_rmse10 m_mae10 m_precision10 m_diversity_content m_ils m_catalog m_items m_users m_predicted m_serendipity "
-         "m_novelty10 m_content m_ranks")
+# The full report looks at the cut lists throughout.
+for _name in ("m_catalog", "m_items", "m_users", "m_predicted", "serendipity_rows"):
+    _uses, _body = VIEWS[_name]
+    VIEWS[f"{_name}10"] = (_uses.replace("predictions", "top10"), _body.replace("FROM predictions", "FROM top10"))
+VIEWS["m_serendipity10"] = ("serendipity_rows10", VIEWS["m_serendipity"][1].replace("serendipity_rows", "serendipity_rows10"))
+VIEWS["nearest10"] = ("test top10 item_content", VIEWS["nearest"][1].replace("FROM train a", "FROM test a"))
+VIEWS["m_content10"] = ("nearest10", VIEWS["m_content"][1].replace("nearest", "nearest10"))
+VIEWS["ranked10"] = ("ranked", "SELECT * FROM ranked WHERE rank <= 10")
+VIEWS["m_ranks10"] = ("ranked10 test", VIEWS["m_ranks"][1].replace("FROM ranked k", "FROM ranked10 k"))
+_FULL = ("m_rmse10 m_mae10 m_precision10 m_diversity_content m_ils m_catalog10 m_items10 m_users10 m_predicted10 m_serendipity10 "
+         "m_novelty10 m_content10 m_ranks10")
 
 
 @query("met_21_full_report", f"SELECT 'bias' AS model, {shown(*report.FULL)} FROM {', '.join(_FULL.split())}", _FULL)

@@ -33,7 +33,8 @@ VIEWS["content_scored"] = ("reviews content_full", """
 
 def content_vectors(v):
     """Mean vectors of users and items, written once for the queries that score with them."""
-    weights = v.stored("review_weights", lambda: ContentModel().weights(v.reviews))
+    counts = v.stored("review_terms", lambda: ContentModel().counts(v.reviews))
+    weights = v.stored("review_weights", lambda: ContentModel().weights(v.reviews, counts))
     return ContentVectors(v.stored("user_terms", lambda: mean_vectors(weights, v.reviews, USER)),
                           v.stored("item_terms", lambda: mean_vectors(weights, v.reviews, ITEM)))
 
@@ -42,10 +43,10 @@ def content_vectors(v):
     SELECT 'user' AS side, user_id AS id, term, round(weight, 6) AS weight FROM user_terms
     UNION ALL SELECT 'item', business_id, term, round(weight, 6) FROM item_terms""")
 def mean_term_vectors(v):
-    weights = ContentModel().weights(v.reviews)
-    sides = [mean_vectors(weights, v.reviews, key).select(F.lit(side).alias("side"), F.col(key).alias("id"), "term",
+    fitted = ContentModel().fit(v.reviews)
+    sides = [vectors.select(F.lit(side).alias("side"), F.col(key).alias("id"), "term",
                                                          F.round("weight", 6).alias("weight"))
-             for side, key in (("user", USER), ("item", ITEM))]
+             for side, key, vectors in (("user", USER, fitted.users), ("item", ITEM, fitted.items))]
     return sides[0].unionByName(sides[1])
 
 
@@ -60,7 +61,7 @@ def full_scores(v):
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(prediction, 6) DESC, business_id) AS rank
       FROM content_full) WHERE rank <= 3""")
 def content_top_n(v):
-    return rounded(ranking.top_n(content_vectors(v).full_scores(), 3, keep_rank=True), PREDICTION)
+    return rounded(content_vectors(v).top_lists(3), PREDICTION)
 
 
 @query("mod_01_bias", uses="predictions", sql="""
@@ -169,7 +170,7 @@ def als_report(v):
 
 def report_views(tag: str, source: str, scored: str) -> None:
     """The standard measures for another model: split of ``source``, predictions in ``scored``."""
-    VIEWS[f"{tag}_test"] = (source, f"SELECT user_id, business_id, rating FROM {source} WHERE substr({_HASH}, 1, 2) >= 'cc'")
+    VIEWS[f"{tag}_test"] = (source, f"SELECT user_id, business_id, rating FROM {source} WHERE substr({_HASH}, 1, 12) >= 'cccccccccccc'")
     VIEWS[f"{tag}_means"] = (source, f"SELECT business_id, avg(rating) AS m FROM {source} GROUP BY business_id")
     VIEWS[f"{tag}_prob"] = (f"{tag}_means", f"""
         SELECT business_id, CASE WHEN n = 1 THEN 1.0::DOUBLE ELSE (n - rank) / CAST(nullif(n - 1, 0) AS DOUBLE) END AS prob

@@ -19,8 +19,8 @@ VIEWS: dict[str, tuple[str, str]] = {
         SELECT user_id, business_id, rating, date FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id, business_id ORDER BY date DESC, rating DESC) AS rn
           FROM interactions) WHERE rn = 1"""),
-    "train": ("ratings", f"SELECT * FROM ratings WHERE substr({_DIGEST}, 1, 2) < 'cc'"),
-    "test": ("ratings", f"SELECT * FROM ratings WHERE substr({_DIGEST}, 1, 2) >= 'cc'"),
+    "train": ("ratings", f"SELECT * FROM ratings WHERE substr({_DIGEST}, 1, 12) < 'cccccccccccc'"),
+    "test": ("ratings", f"SELECT * FROM ratings WHERE substr({_DIGEST}, 1, 12) >= 'cccccccccccc'"),
     "business": ("interactions", """
         SELECT s.s_name AS name, s.s_suppkey AS business_id,
                concat('no ', CAST(s.s_suppkey AS VARCHAR)) AS address, n.n_name AS city, r.r_name AS state,

@@ -13,13 +13,13 @@ _HASH = "md5(concat(CAST(user_id AS VARCHAR), ':', CAST(business_id AS VARCHAR))
 
 
 @query("spl_01_sample", uses="ratings", sql=f"""
-    SELECT user_id, business_id, rating FROM ratings WHERE substr({_HASH}, 1, 3) < '199'""")
+    SELECT user_id, business_id, rating FROM ratings WHERE substr({_HASH}, 1, 12) < '199999999999'""")
 def sample(v):
     return splits.hash_sample(v.ratings, 0.1).select(*PAIR, "rating")
 
 
 @query("spl_02_split", uses="ratings", sql=f"""
-    SELECT user_id, business_id, rating, substr({_HASH}, 1, 2) >= 'cc' AS is_test FROM ratings""")
+    SELECT user_id, business_id, rating, substr({_HASH}, 1, 12) >= 'cccccccccccc' AS is_test FROM ratings""")
 def split(v):
     train, test = splits.hash_split(v.ratings.select(*PAIR, "rating"))
     return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))

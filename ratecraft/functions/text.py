@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -56,16 +59,34 @@ def terms_of(text: Column, ngram_range: tuple[int, int] = (1, 1),
     return ngrams(without_stop_words(tokens(text), stop_words), *ngram_range)
 
 
+def _count_rows(keys: int):
+    """Task function: the terms of each row with their numbers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, COUNTED_ROWS):
+                part = batch.slice(start, COUNTED_ROWS)
+                counted = [Counter(words or ()) for words in part.column(keys).to_pylist()]
+                row = pa.array(np.repeat(np.arange(len(counted)), [len(c) for c in counted]))
+                terms = pa.array([t for c in counted for t in c], pa.string())
+                numbers = pa.array([n for c in counted for n in c.values()], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(row) for i in range(keys)), terms, numbers],
+                                                 [*part.schema.names[:keys], "term", "tf"])
+    return run
+
+
+#: Documents whose terms one step of the counting holds.
+COUNTED_ROWS = 256
+
+
 def term_counts(docs: DataFrame, key: Sequence[str], ngram_range: tuple[int, int] = (1, 1),
                 stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """(key..., term, tf) for every document; ``key[0]`` is unique per document.
 
-    The texts are spread by document first: long ones do not pile up in one scan task, and
-    the grouping by (document, term) then needs no shuffle of its own.
+    A document is one row, so its terms are counted where it lies; neither texts nor single words move.
     """
-    spread = docs.select(*key, "text").repartition(key[0])
-    words = spread.select(*key, F.explode(terms_of(F.col("text"), ngram_range, stop_words)).alias("term"))
-    return words.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = docs.select(*key, terms_of(F.col("text"), ngram_range, stop_words).alias("_words"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema.fields[:-1])
+    return words.mapInArrow(_count_rows(len(key)), f"{kinds}, term string, tf long")
 
 
 def tf_idf(counts: DataFrame, n_docs: Column, doc: str = "doc_id", sublinear_tf: bool = False) -> DataFrame:
@@ -86,6 +107,6 @@ def top_terms(docs: DataFrame, limit: int = 2000, stop_words: Sequence[str] = ST
     """The most frequent terms of a corpus with their frequency relative to the first."""
     words = docs.select(F.explode(terms_of(F.col("text"), (1, 1), stop_words)).alias("term"))
     counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    most = counted.agg(F.max("n")).scalar()
-    return (counted.orderBy(F.col("n").desc(), F.col("term").asc()).limit(limit)
-            .withColumn("relative", F.col("n") / most))
+    best = counted.orderBy(F.col("n").desc(), F.col("term").asc()).limit(limit)
+    # The first of at most ``limit`` rows: the words are counted once.
+    return best.withColumn("relative", F.col("n") / F.max("n").over(W.partitionBy(F.lit(0))))

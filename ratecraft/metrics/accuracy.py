@@ -90,8 +90,23 @@ def _scores(cells: DataFrame) -> DataFrame:
                        F.col("actual").alias("support"))
 
 
+SCORES = ("precision", "recall", "fscore")
+
+
 def macro_scores(per_class: DataFrame) -> DataFrame:
-    return per_class.agg(*(F.avg(c).alias(c) for c in ("precision", "recall", "fscore")))
+    """Plain means over the classes."""
+    return per_class.agg(*(F.avg(c).alias(c) for c in SCORES))
+
+
+def weighted_scores(per_class: DataFrame) -> DataFrame:
+    """Means over the classes, weighted by their support; null without any row."""
+    return per_class.agg(*(F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in SCORES))
+
+
+def micro_scores(per_class: DataFrame) -> DataFrame:
+    """From the sums over all classes: every row has one label and one prediction, so all three are the share of hits."""
+    share = F.try_divide(F.sum(F.rint(F.col("recall") * F.col("support"))), F.sum("support"))
+    return per_class.agg(*(share.alias(c) for c in SCORES))
 
 
 def precision_at_n(actual: DataFrame, predictions: DataFrame, n: int = 100) -> DataFrame:

@@ -49,18 +49,17 @@ FULL = ("rmse", "mae", "precision_at_n", "cat_diversity", "ils_distance", "catal
 
 def full_report(train: DataFrame, test: DataFrame, predictions: DataFrame, content: DataFrame, label: str,
                 n: int = 100) -> DataFrame:
-    """Every measure of one model; list measures look at each user's n best predictions."""
-    made = predictions.select(*PAIR, PREDICTION)
-    listed = top_n(made, n)
+    """Every measure of one model, each over the users' n best predictions; test ratings are the profiles."""
+    listed = top_n(predictions.select(*PAIR, PREDICTION), n)
     vectors = with_content(content)
     prob = item_probability(corpus(train, test))
     measures = [
-        accuracy.rmse_against(test, listed), accuracy.mae(test, listed), accuracy.precision_at_n(test, made, n),
+        accuracy.rmse_against(test, listed), accuracy.mae(test, listed), accuracy.precision_at_n(test, listed, n),
         diversity.category_diversity(listed, vectors), diversity.intra_list_distance(listed, vectors),
-        coverage.catalog_coverage(test, train, made), coverage.item_coverage(test, train, vectors, made),
-        coverage.user_coverage(test, train, made), coverage.prediction_coverage(test, made),
-        serendipity(test, made, prob), novelty(listed, prob), content_serendipity(train, listed, vectors),
-        accuracy.relevant_rank_stats(test, made)]
+        coverage.catalog_coverage(test, train, listed), coverage.item_coverage(test, train, vectors, listed),
+        coverage.user_coverage(test, train, listed), coverage.prediction_coverage(test, listed),
+        serendipity(test, listed, prob), novelty(listed, prob), content_serendipity(test, listed, vectors),
+        accuracy.relevant_rank_stats(test, listed)]
     return side_by_side(measures, FULL, label)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft import ITEM, RATING, USER
-from ratecraft.session import cut_lineage
+from ratecraft.session import cut_lineage, stored_copy
 
 
 @dataclass
@@ -44,8 +44,9 @@ class BiasModel:
         Every half step is a join of the ratings with one offset table and a grouped sum
         that combines before the shuffle. The offset tables hold one row per key.
         """
-        mean = ratings.agg(F.avg(RATING)).first()[0] or 0.0
-        centred = ratings.select(USER, ITEM, (F.col(RATING) - F.lit(mean)).alias("dev"))
+        kept = stored_copy(ratings.select(USER, ITEM, RATING), "rows")  # read in every half step
+        mean = kept.agg(F.avg(RATING)).first()[0] or 0.0
+        centred = kept.select(USER, ITEM, (F.col(RATING) - F.lit(mean)).alias("dev"))
         users: DataFrame | None = None
         items: DataFrame | None = None
         for epoch in range(1, self.epochs + 1):

@@ -76,7 +76,8 @@ class SvdppModel:
 
     def fit(self, ratings: DataFrame, target: str = "rating") -> FittedSvdpp:
         k = self.factors
-        rows = ratings.select(*PAIR, F.col(target).alias("r"))
+        # Stored once: every epoch reads the rows several times, and they may be the end of a long plan.
+        rows = stored_copy(ratings.select(*PAIR, F.col(target).alias("r")), "rows")
         mean, low, high = rows.agg(F.avg("r"), F.min("r"), F.max("r")).first()
         size = rows.groupBy(USER).agg(F.count(F.lit(1)).alias("n"))
         users = _start(size.select(USER, "n", (F.lit(1.0) / F.sqrt("n")).alias("root"), F.lit(0.0).alias("bu")),
@@ -106,7 +107,7 @@ class SvdppModel:
         def move(old: str, gradient: Column, n: Column) -> Column:
             return _moved(old, gradient, n, self.lr, self.reg, self.damping)
         error = (F.col("r") - (F.lit(mean) + F.col("bu") + F.col("bi") + _dot("q", "w", k))).alias("e")
-        whole = self._combined(rows, users, items)
+        whole = cut_lineage(self._combined(rows, users, items))  # read twice below
         scored = (rows.join(whole.select(USER, "bu", *_names("w", k)), USER)
                   .join(items.select(ITEM, "bi", *_names("q", k)), ITEM).select(USER, error, *_names("q", k)))
         pull = scored.groupBy(USER).agg(F.sum("e").alias("ge"),

@@ -1,23 +1,21 @@
 """Row numbers over data of any size.
 
 A window keeps all rows of a key in one task, and a window without a key keeps the whole
-table there. Here a key is windowed only after its size was checked; otherwise rows get
-their position from a distributed sort.
+table there. Here rows get their position from a distributed sort, so that a key may hold
+any share of them; the same way serves every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ratecraft import ITEM, PREDICTION, RATING, USER
-from ratecraft.session import cut_lineage
-
-#: Most rows of one key that a window may hold in one task.
-GROUP_ROWS = 2_000_000
+from ratecraft.session import cut_lineage, stored_copy
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
 
@@ -59,26 +57,22 @@ def positions(df: DataFrame, order: Sequence[Column], name: str = "position",
     return located.withColumn(name, F.col("_before") + row).drop("_seq", "_part", "_before"), total
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank",
-                size: str | None = None, ties: bool = False, group_rows: int = GROUP_ROWS) -> DataFrame:
+                size: str | None = None, ties: bool = False) -> DataFrame:
     """1-based rank inside each key; ``size`` adds the number of rows of the key.
 
     ``ties`` gives equal rows the same, lowest rank; ``order`` is then plain ascending columns.
+    Otherwise rows that ``order`` leaves equal follow the hash of their columns. The input is
+    evaluated once: it is stored, as a sort into ranges reads its input twice.
     """
-    if largest_group(df, keys) <= group_rows:
-        ordered = W.partitionBy(*keys).orderBy(*order)
-        out = df.withColumn(name, (F.rank() if ties else F.row_number()).over(ordered).cast("long"))
-        return out.withColumn(size, F.count(F.lit(1)).over(W.partitionBy(*keys))) if size else out
-
     columns = {f"_o{i}": c for i, c in enumerate(order)} if ties else {}
-    placed, _ = positions(df.withColumns(columns), [*(F.col(k).asc() for k in keys), *order], "_pos",
-                          spread_equal=True)
-    groups = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_size"))
-    out = placed.join(groups, list(keys))
+    kept = stored_copy(df.withColumns(columns), "ranked")
+    placed, _ = positions(kept, [*(F.col(k).asc() for k in keys), *order], "_pos", spread_equal=True)
+    groups = placed.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(
+        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    # A null key is a group like any other.
+    same_key = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
+    out = placed.join(groups, same_key).drop(*(f"_k{i}" for i in range(len(keys))))
     if ties:
         same = placed.groupBy(*keys, *columns).agg(F.min("_pos").alias("_place"))
         out = out.join(same, [*keys, *columns])
@@ -97,8 +91,8 @@ def item_ranking(ratings: DataFrame) -> tuple[DataFrame, int]:
     return placed.select(ITEM, "avg_rating", (F.col("position") + 1).alias("rank")), n
 
 
-def rank_by_prediction(predictions: DataFrame, size: str | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
-    return rank_within(predictions, [USER], score_order(PREDICTION), "rank", size, group_rows=group_rows)
+def rank_by_prediction(predictions: DataFrame, size: str | None = None) -> DataFrame:
+    return rank_within(predictions, [USER], score_order(PREDICTION), "rank", size)
 
 
 def top_n(df: DataFrame, n: int = 10, score: str = PREDICTION, keep_rank: bool = False) -> DataFrame:

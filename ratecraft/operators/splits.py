@@ -18,10 +18,19 @@ def pair_digest() -> Column:
     return F.md5(F.concat(F.col(USER).cast("string"), F.lit(":"), F.col(ITEM).cast("string")))
 
 
+def below_share(share: float) -> Column:
+    """True for about ``share`` of the pairs: the first 48 bits of the digest, below that part of their range.
+
+    Hex digits of equal number sort as the numbers they stand for. None at 0 or less, all at 1 or more.
+    """
+    if share >= 1:
+        return F.lit(True)
+    return F.substring(pair_digest(), 1, 12) < f"{int(max(share, 0.0) * (1 << 48)):012x}"
+
+
 def hash_split_flag(train_share: float = 0.8) -> Column:
-    """True for test rows: about ``1 - train_share`` of the pairs, by digest prefix."""
-    cut = f"{int(train_share * 256):02x}"
-    return F.substring(pair_digest(), 1, 2) >= cut
+    """True for test rows: about ``1 - train_share`` of the pairs, by digest."""
+    return ~below_share(train_share)
 
 
 def hash_split(ratings: DataFrame, train_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -40,8 +49,8 @@ def sample(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
 
 
 def hash_sample(ratings: DataFrame, fraction: float) -> DataFrame:
-    """Sample without replacement by pair digest, in steps of 1/4096."""
-    return ratings.filter(F.substring(pair_digest(), 1, 3) < f"{int(fraction * 4096):03x}")
+    """Sample without replacement by pair digest."""
+    return ratings.filter(below_share(fraction))
 
 
 def leave_latest_out(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:

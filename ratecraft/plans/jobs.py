@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ratecraft import ITEM, PAIR, PREDICTION, RATING, USER
 from ratecraft.metrics import toplist
-from ratecraft.metrics.report import cohort_errors, standard_report
+from ratecraft.metrics.report import cohort_errors, side_by_side, standard_report
 from ratecraft.models.als import AlsModel
 from ratecraft.models.bias import BiasModel
 from ratecraft.models.content import ContentModel
@@ -70,30 +70,33 @@ def discounted_job(ratings: DataFrame, business: DataFrame, model: SvdppModel |
 
 
 def neural_job(table: DataFrame, model: NeuralModel | None = None) -> Outcome:
-    """``table`` is one of the feature views: ids, + business, or + user columns."""
-    train, test = hash_split(table)
+    """``table`` is one of the feature views: ids, + business, or + user columns; ids of any type."""
+    train, test = hash_split(stored_copy(encoded(table)))
     scored = (model or NeuralModel()).fit(train).predict(test)
     return Outcome(rel.triples(train), rel.triples(test), scored.select(*PAIR, PREDICTION))
 
 
 def neural_cohorts(train: DataFrame, test: DataFrame, model: NeuralModel | None = None) -> DataFrame:
-    """Squared error per cohort of a network on ids alone."""
-    fitted = (model or NeuralModel(epochs=3)).fit(rel.id_view(train))
-    return cohort_errors(fitted.predict(cohorts(train, test)))
+    """Squared error per cohort of a network on ids alone; one numbering of the ids for train and cohorts."""
+    tagged = cohorts(train, test)
+    part = rel.id_view(train).withColumn("cohort", F.lit(None).cast("string"))
+    both = stored_copy(encoded(part.unionByName(tagged.select(*part.columns))))
+    fitted = (model or NeuralModel(epochs=3)).fit(both.filter("cohort is null").drop("cohort"))
+    return cohort_errors(fitted.predict(both.filter("cohort is not null")))
 
 
 def interaction_scores(fitted, train: DataFrame, test: DataFrame, k: int) -> DataFrame:
     """One row: mean and deviation of the users' AUC and mean precision, on train and on test."""
-    out = None
+    measures, columns = [], []
     for part, positives, exclude in (("train", train, None), ("test", test, train)):
         places, n_items = toplist.catalogue_places(fitted.users, fitted.items, positives, exclude, fitted.k)
         places = stored_copy(places)
         auc = toplist.auc_by_factors(places, n_items)
         precision = toplist.precision_by_factors(places, n_items, k)
-        row = auc.agg(F.avg("auc").alias(f"{part}_auc_mean"), F.stddev_pop("auc").alias(f"{part}_auc_std"))
-        row = row.withColumn(f"{part}_precision", precision.agg(F.avg("precision")).scalar())
-        # Both frames have exactly one row; the test columns ride along as scalar subqueries.
-        out = row if out is None else out.withColumns({c: row.select(c).scalar() for c in row.columns})
+        measures += [auc.agg(F.avg("auc").alias(f"{part}_auc_mean"), F.stddev_pop("auc").alias(f"{part}_auc_std")),
+                     precision.agg(F.avg("precision").alias(f"{part}_precision"))]
+        columns += [f"{part}_auc_mean", f"{part}_auc_std", f"{part}_precision"]
+    out = side_by_side(measures, tuple(columns), "").drop("model")
     return out.withColumn("prec_at_k", F.lit(k))
 
 

@@ -1,9 +1,14 @@
-"""Session settings and the shared folder that every job writes to."""
+"""Session settings, the code on the executors, and the shared folder that every job writes to."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,33 +23,73 @@ SETTINGS = {
 }
 
 _folders: dict[str, str] = {}
+_sessions: dict[str, SparkSession] = {}
+_shipped: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: their Python has no other way to find it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    package = Path(__file__).resolve().parent
+    archive = Path(os.path.realpath(tempfile.mkdtemp(prefix="ratecraft-code-")), "ratecraft.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This application's own folder below ``spark.checkpoint.dir``.
 
-    The cluster names a folder that all executors reach. Only where the setting is
-    missing (tests, a laptop) a temporary folder is used instead.
+    The cluster names a folder that all executors reach. Where the setting is missing, a local
+    session (tests, a laptop) uses a temporary folder, and any other session is refused: its executors
+    would each write to a disk of their own. The folder goes when the Python process ends.
     """
     app = spark.sparkContext.applicationId
     if app not in _folders:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="ratecraft-")
             spark.sparkContext.setCheckpointDir(root)
         elif spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
         _folders[app] = f"{root.rstrip('/')}/ratecraft-{app}-{uuid.uuid4().hex[:8]}"
+        _sessions[app] = spark
     return _folders[app]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application has stored in the shared folder; frames that read it end with it."""
+    path = _folders.pop(spark.sparkContext.applicationId, None)
+    if path:
+        _delete(spark, path)
+
+
+@atexit.register
+def _at_exit() -> None:
+    for app, path in list(_folders.items()):
+        with contextlib.suppress(Exception):  # a session that was stopped cannot delete any more
+            _delete(_sessions[app], path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nobody has written yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
@@ -60,7 +105,15 @@ def stored_copy(df: DataFrame, name: str = "copy") -> DataFrame:
     """Write to the shared folder and read back: the columnar way to cut the lineage of a large table."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)  # a table without rows may have no files
+    out._stored_at = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a ``stored_copy`` that nothing reads any more, such as the last round's of an iteration."""
+    if path := getattr(df, "_stored_at", None):
+        _delete(df.sparkSession, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -11,10 +11,14 @@ from pyspark.sql.types import DataType, LongType, StringType, StructType
 from ratecraft import schemas
 
 TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+#: What is read: a day alone means its first second.
+DAY_OR_TIMESTAMP = "yyyy-MM-dd[ HH:mm:ss]"
+#: A line that does not fit the schema ends the read: no rows of nulls.
+MODE = "FAILFAST"
 
 
 def _json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("timestampNTZFormat", TIMESTAMP).json(path)
+    return spark.read.schema(schema).option("timestampNTZFormat", DAY_OR_TIMESTAMP).option("mode", MODE).json(path)
 
 
 def read_reviews(spark: SparkSession, path: str, key: DataType = StringType(), text: bool = True) -> DataFrame:
@@ -40,7 +44,7 @@ def read_photos(spark: SparkSession, path: str, key: DataType = StringType()) ->
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", True).option("timestampNTZFormat", TIMESTAMP)
+    reader = spark.read.schema(schema).option("header", True).option("timestampNTZFormat", DAY_OR_TIMESTAMP).option("mode", MODE)
     # Written with quotes doubled, not backslashed, as pandas and most tools do.
     return reader.option("multiLine", False).option("escape", '"').csv(path)
 
@@ -58,7 +62,5 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
-    """A short literal table (labels, parameters). Data sets are read by Spark, never shipped this way."""
-    if len(rows) > 10_000:
-        raise ValueError("local_rows is for literals; read larger data from storage")
+    """A literal table of the driver's rows as a distributed frame. Data sets are read by Spark, not shipped this way."""
     return spark.createDataFrame(list(rows), schema)

@@ -203,9 +203,7 @@ def sets_of(rows):
     return out
 
 
-@pytest.mark.parametrize("limit", [ranking.GROUP_ROWS, 3])
-def test_auc_and_precision_by_item_score(spark, data, monkeypatch, limit):
-    monkeypatch.setattr(ranking.rank_within, "__defaults__", ("rank", None, False, limit))
+def test_auc_and_precision_by_item_score(spark, data):
     raw, df = data
     scores = {i: float(i * 7 % 5) for i in range(12)}  # with ties
     table = spark.createDataFrame(list(scores.items()), "business_id long, score double")
@@ -218,17 +216,20 @@ def test_auc_and_precision_by_item_score(spark, data, monkeypatch, limit):
 
 
 @pytest.mark.parametrize("block", [4096, 5])
-def test_auc_and_precision_by_factors(spark, data, monkeypatch, block):
+@pytest.mark.parametrize("ties", [False, True])
+def test_auc_and_precision_by_factors(spark, data, monkeypatch, block, ties):
     monkeypatch.setattr(toplist, "BLOCK", block)
+    monkeypatch.setattr(toplist, "USERS", 2)
     raw, df = data
     rng = random.Random(8)
-    users = {u: [rng.uniform(-1, 1) for _ in range(3)] for u in range(6)}
-    items = {i: [rng.uniform(-1, 1) for _ in range(3)] for i in range(12)}
+    draw = (lambda: rng.choice([0.0, 0.5])) if ties else (lambda: rng.uniform(-1, 1))
+    users = {u: [draw() for _ in range(3)] for u in range(6)}
+    items = {i: [draw() for _ in range(3)] for i in range(12)}
     uf = spark.createDataFrame([(u, *x) for u, x in users.items()], "user_id long, bu double, p0 double, p1 double")
     itf = spark.createDataFrame([(i, *x) for i, x in items.items()], "business_id long, bi double, q0 double, q1 double")
 
     def score(u, i):
-        return users[u][0] + items[i][0] + users[u][1] * items[i][1] + users[u][2] * items[i][2]
+        return items[i][0] + users[u][1] * items[i][1] + users[u][2] * items[i][2]
     expected = brute_ranking(score, sets_of(raw["test"]), sets_of(raw["train"]), items, 3)
     places, n = toplist.catalogue_places(uf, itf, df["test"], df["train"], 2)
     assert n == 12
@@ -238,6 +239,15 @@ def test_auc_and_precision_by_factors(spark, data, monkeypatch, block):
     assert precision == pytest.approx({u: v[1] for u, v in expected.items()})
 
 
+def test_precision_of_equal_scores_is_at_most_one(spark):
+    users = spark.createDataFrame([(1, 0.0, 1.0)], "user_id long, bu double, p0 double")
+    items = spark.createDataFrame([(i, 0.0, 1.0) for i in range(30)], "business_id long, bi double, q0 double")
+    hits = spark.createDataFrame([(1, i) for i in range(0, 20, 2)], "user_id long, business_id long")
+    places, n = toplist.catalogue_places(users, items, hits, None, 1)
+    assert [tuple(r) for r in toplist.precision_by_factors(places, n, 4).collect()] == [(1, 0.5)]
+    assert [tuple(r) for r in toplist.auc_by_factors(places, n).collect()] == [(1, 0.5)]
+
+
 def test_reports_have_one_row(data):
     raw, df = data
     row = report.standard_report(df["train"], df["test"], df["preds"], "x").collect()

@@ -122,15 +122,37 @@ def reviews(spark):
     return spark.createDataFrame(rows, "doc_id long, user_id long, business_id long, rating double, text string")
 
 
-@pytest.mark.parametrize("tile,open_tiles", [(256, 64), (2, 1)])
-def test_pair_scores_equal_the_full_product(reviews, monkeypatch, tile, open_tiles):
+@pytest.mark.parametrize("tile,dense", [(256, 4096), (2, 3)])
+def test_pair_scores_equal_the_full_product(reviews, monkeypatch, tile, dense):
     monkeypatch.setattr(content, "TILE", tile)
-    monkeypatch.setattr(content, "OPEN_TILES", open_tiles)
+    monkeypatch.setattr(content, "DENSE", dense)
     fitted = ContentModel((1, 2)).fit(reviews)
     full = {(r.user_id, r.business_id): r.prediction for r in fitted.full_scores().collect()}
     pairs = fitted.predict(reviews.select(*PAIR)).collect()
     assert len(pairs) == 41
     assert all(r.prediction == pytest.approx(full.get((r.user_id, r.business_id), 0.0)) for r in pairs)
+    users, items = {}, {}
+    for table, key, out in ((fitted.users, "user_id", users), (fitted.items, "business_id", items)):
+        for r in table.collect():
+            out.setdefault(r[key], {})[r.term] = r.weight
+    plain = {(u, i): sum(w * b.get(t, 0.0) for t, w in a.items()) for u, a in users.items() for i, b in items.items()}
+    assert full == pytest.approx({k: x for k, x in plain.items() if x})
+    best = {(r.user_id, r["rank"]): r.prediction for r in fitted.top_lists(2).collect()}
+    for u in users:
+        scores = sorted((s for (v, _), s in full.items() if v == u), reverse=True)[:2]
+        assert [best[u, n + 1] for n in range(len(scores))] == pytest.approx(scores)
+
+
+def test_network_takes_string_ids_and_ignores_partitions(spark, planted):
+    train, test = planted
+    name = lambda df: df.withColumn("user_id", F.concat(F.lit("u"), F.col("user_id"))).withColumn("business_id", F.concat(F.lit("b"), F.col("business_id")))
+    whole = name(train.unionByName(test)).select("user_id", "business_id", "rating")
+    outcome = jobs.neural_job(whole, neural.NeuralModel(epochs=1))
+    assert outcome.predictions.count() == outcome.test.count() > 0
+    assert tuning.sweep_neural(whole, (1,), (64,)).count() == 1
+    one = neural.NeuralModel(epochs=2, batch_size=64).fit(train.select("user_id", "business_id", "rating"))
+    two = neural.NeuralModel(epochs=2, batch_size=64).fit(train.select("user_id", "business_id", "rating").repartition(7))
+    assert one.weights == pytest.approx(two.weights, abs=1e-9)
 
 
 def test_content_sweep_names_every_point(reviews):

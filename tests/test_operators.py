@@ -37,6 +37,14 @@ def test_hash_split_is_disjoint_and_whole(ratings):
     assert bag(again) == bag(test)
 
 
+def test_shares_at_their_limits(spark):
+    pairs = spark.range(20_000).selectExpr("id % 977 AS user_id", "id AS business_id", "1.0D AS rating")
+    for share, low, high in ((0.0, 0, 0), (1e-4, 0, 15), (0.001, 5, 45), (0.8, 15_700, 16_300), (1.0, 20_000, 20_000)):
+        train, test = splits.hash_split(pairs, share)
+        n = splits.hash_sample(pairs, share).count()
+        assert low <= n <= high and train.count() == n and test.count() == 20_000 - n
+
+
 def test_leave_latest_out_keeps_copies(ratings):
     train, test = splits.leave_latest_out(ratings)
     assert bag(train) + bag(test) == bag(ratings)
@@ -154,3 +162,20 @@ def test_scan_reads_only_needed_columns(spark, ratings):
     ratings.write.parquet(path)
     plan = rel.relevant(spark.read.parquet(path), 3).select("user_id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<user_id:bigint,rating:double>" in plan and "GreaterThanOrEqual(rating,3.0)" in plan
+
+
+def test_dates_without_time_and_broken_lines(spark):
+    path = new_path(spark, "lines")
+    lines = ['{"user_id":"a","business_id":"b","stars":4.0,"text":"x","date":"2016-03-09"}',
+             '{"user_id":"a","business_id":"c","stars":4.0,"text":"x","date":"2016-03-09 10:11:12"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    dates = sorted(r.date for r in readers.read_reviews(spark, path).collect())
+    assert dates == [datetime.datetime(2016, 3, 9), datetime.datetime(2016, 3, 9, 10, 11, 12)]
+    broken = new_path(spark, "broken")
+    spark.createDataFrame([(lines[0],), ('{"user_id":"a", "bus',)], "value string").write.text(broken)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_reviews(spark, broken).collect()
+
+
+def test_local_rows_has_no_cap(spark):
+    assert readers.local_rows(spark, [(i,) for i in range(10_001)], "x int").count() == 10_001

@@ -21,11 +21,9 @@ def expected_ranks(rows):
     return {(u, item): n for u, pairs in users.items() for n, (_, item) in enumerate(sorted(pairs), 1)}
 
 
-@pytest.mark.parametrize("limit", [ranking.GROUP_ROWS, 10])
-def test_rank_within_both_ways(skewed, limit):
-    """The distributed way (limit 10) gives the very ranks of the window."""
+def test_rank_within_a_hot_key(skewed):
     expected = expected_ranks(map(tuple, skewed.collect()))
-    out = ranking.rank_by_prediction(skewed, size="n", group_rows=limit).collect()
+    out = ranking.rank_by_prediction(skewed, size="n").collect()
     assert {(r.user_id, r.business_id): r["rank"] for r in out} == expected
     per_user = {}
     for user, _ in expected:
@@ -33,9 +31,8 @@ def test_rank_within_both_ways(skewed, limit):
     assert all(r.n == per_user[r.user_id] for r in out)
 
 
-@pytest.mark.parametrize("limit", [ranking.GROUP_ROWS, 10])
-def test_rank_with_ties(skewed, limit):
-    out = ranking.rank_within(skewed, ["user_id"], [F.col("prediction")], ties=True, group_rows=limit).collect()
+def test_rank_with_ties(skewed):
+    out = ranking.rank_within(skewed, ["user_id"], [F.col("prediction")], ties=True).collect()
     scores = {}
     for r in out:
         scores.setdefault(r.user_id, []).append(r.prediction)
@@ -79,3 +76,22 @@ def test_rank_probability(spark):
     rows = spark.createDataFrame([(1, 1), (1, 5), (5, 5), (3, 5)], "rank long, n long")
     out = [r[0] for r in rows.select(ranking.rank_probability(F.col("rank"), F.col("n"))).collect()]
     assert out == [1.0, 1.0, 0.0, 0.5]
+
+
+def test_rank_evaluates_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).selectExpr("id % 3 AS user_id", "id AS business_id", "id % 5 / 1.0D AS prediction")
+    ranking.rank_by_prediction(rows.mapInArrow(count, rows.schema)).collect()
+    assert seen.value == 1000
+
+
+def test_rank_with_null_keys(spark):
+    rows = spark.createDataFrame([(None, 1, 2.0), (None, 2, 3.0), (1, 1, 1.0)], "user_id long, business_id long, prediction double")
+    out = {(r.user_id, r.business_id): (r["rank"], r.n) for r in ranking.rank_by_prediction(rows, size="n").collect()}
+    assert out == {(None, 2): (1, 2), (None, 1): (2, 2), (1, 1): (1, 1)}
