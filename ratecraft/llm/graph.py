@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.session import stored_copy
+from ratecraft.session import forget, stored_copy
 
 
 def _loose(edges: DataFrame) -> DataFrame:
@@ -41,4 +41,5 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == tuple(here) or not here[0]:
             return now
         mark = tuple(here)
-        now = stored_copy(_small_star(_large_star(now)), "edges")
+        last, now = now, stored_copy(_small_star(_large_star(now)), "edges")
+        forget(last)
