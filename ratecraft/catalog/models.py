@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ratecraft import ITEM, PAIR, PREDICTION, RATING, USER
 from ratecraft.catalog.columns import rounded, wide
 from ratecraft.catalog.measures import shown, standard_sql
-from ratecraft.catalog.oracle_views import VIEWS
+from ratecraft.catalog import factor_views
+from ratecraft.catalog.oracle_views import VIEWS, tfidf_views
 from ratecraft.catalog.registry import query
 from ratecraft.metrics import coverage, report
 from ratecraft.models.als import AlsModel
@@ -86,19 +87,39 @@ def content(v):
     return rounded(ContentModel().fit(v.reviews).predict(rel.triples(v.reviews)), PREDICTION)
 
 
-SVDPP = SvdppModel(factors=8, epochs=3)
-LOGISTIC = LogisticModel(factors=8, epochs=3)
+SVDPP = SvdppModel()
+LOGISTIC = LogisticModel()
+K = 100
 
+# Discounts that know the training ratings alone.
+for _name in ("detail", "context", "aged", "decayed", "discounted"):
+    _uses, _body = VIEWS[_name]
+    for _old in ("ratings", "detail", "context", "aged", "decayed"):
+        _new = "train" if _old == "ratings" else f"train_{_old}"
+        _uses = " ".join(_new if u == _old else u for u in _uses.split())
+        _body = _body.replace(f"FROM {_old}", f"FROM {_new}").replace(f"JOIN {_old} ", f"JOIN {_new} ")
+    VIEWS[f"train_{_name}"] = (_uses, _body)
+VIEWS |= factor_views.svdpp_views("train_discounted", "date_dist_rating", "sv", SVDPP)
+VIEWS["sv_scored"] = factor_views.svdpp_scored("test", "sv", SVDPP)
+VIEWS |= factor_views.logistic_views("train", "lg", LOGISTIC)
+VIEWS["lg_scored"] = factor_views.logistic_scored("test", "lg", LOGISTIC)
+_SCORED = "SELECT user_id, business_id, rating, round(prediction, 5) AS prediction FROM {}"
 
-@query("mod_05_svdpp")
+
+def fifth_place(df):
+    """Twenty epochs add up rounding: five places are the same in both engines."""
+    return df.withColumn(PREDICTION, F.round(PREDICTION, 5))
+
+
+@query("mod_05_svdpp", _SCORED.format("sv_scored"), "sv_scored")
 def svdpp(v):
     table = discount.export_columns(discount.discounted_detail(v.train, v.business))
-    return SVDPP.fit(table, "date_dist_rating").predict(rel.triples(v.test))
+    return fifth_place(SVDPP.fit(table, "date_dist_rating").predict(rel.triples(v.test)))
 
 
-@query("mod_06_logistic")
+@query("mod_06_logistic", _SCORED.format("lg_scored"), "lg_scored")
 def logistic(v):
-    return LOGISTIC.fit(v.train).predict(rel.triples(v.test))
+    return fifth_place(LOGISTIC.fit(v.train).predict(rel.triples(v.test)))
 
 
 @query("mod_07_neural")
@@ -126,23 +147,25 @@ def model_coverage(v):
 
 @query("tun_01_als_sweep")
 def als_sweep(v):
-    return tuning.sweep_als(v.train, v.test, ranks=(4, 16), reg_params=(0.05, 0.5))
+    return tuning.sweep_als(v.train, v.test)
 
 
-@query("tun_02_content_sweep")
-def content_sweep(v):
-    return tuning.sweep_content(v.reviews, ngram_ranges=((1, 1), (1, 2)))
+for _epoch in range(1, LOGISTIC.epochs + 1):
+    VIEWS |= factor_views.epoch_measures("lg", _epoch, LOGISTIC.factors, "train", "test", K, f"lg_at{_epoch}")
+_SWEPT = ("train_auc_mean", "train_auc_std", "train_precision", "test_auc_mean", "test_auc_std", "test_precision")
 
 
-@query("tun_03_epoch_sweep")
+@query("tun_03_epoch_sweep", " UNION ALL ".join(f"SELECT {e} AS epochs, {shown(*_SWEPT)}, prec_at_k FROM lg_at{e}"
+                                                for e in range(1, LOGISTIC.epochs + 1)),
+       " ".join(f"lg_at{e}" for e in range(1, LOGISTIC.epochs + 1)))
 def epoch_sweep(v):
-    return tuning.sweep_epochs(v.train.select(*PAIR), v.test.select(*PAIR), epochs=3, model=LOGISTIC)
+    return rounded(tuning.sweep_epochs(v.train.select(*PAIR), v.test.select(*PAIR), LOGISTIC.epochs, K, LOGISTIC), *_SWEPT)
 
 
 @query("tun_04_neural_sweep")
 def neural_sweep(v):
     table = rel.business_view(rel.with_business(v.ratings, v.business))
-    return tuning.sweep_neural(table, epochs=(1,), batch_sizes=(512, 1024))
+    return tuning.sweep_neural(table)
 
 
 @query("pip_01_discounted", uses="discounted", sql="""
@@ -211,23 +234,70 @@ def content_report(v):
     return rounded(jobs.content_job(v.reviews).report("content"), *report.STANDARD)
 
 
-@query("pip_06_discounted_report")
+def sweep_views(tag: str, ngrams: int, sublinear: bool) -> str:
+    """Views of one point of the content sweep; the name of its scored pairs."""
+    VIEWS.update(tfidf_views(tag, ngrams, sublinear))
+    for key, name in (("user_id", "u"), ("business_id", "i")):
+        VIEWS[f"{tag}_{name}"] = (f"{tag} words", f"""
+            SELECT t.{key}, t.term, sum(t.weight) / max(d.docs) AS weight FROM {tag} t
+            JOIN (SELECT {key}, count(*) AS docs FROM words GROUP BY {key}) d ON d.{key} = t.{key} GROUP BY t.{key}, t.term""")
+    VIEWS[f"{tag}_scored"] = (f"reviews {tag}_u {tag}_i", f"""
+        SELECT r.user_id, r.business_id, r.rating, coalesce(c.prediction, 0) AS prediction FROM reviews r LEFT JOIN (
+          SELECT p.user_id, p.business_id, sum(u.weight * i.weight) AS prediction
+          FROM (SELECT DISTINCT user_id, business_id FROM reviews) p JOIN {tag}_u u ON u.user_id = p.user_id
+          JOIN {tag}_i i ON i.business_id = p.business_id AND i.term = u.term GROUP BY p.user_id, p.business_id) c
+        ON c.user_id = r.user_id AND c.business_id = r.business_id""")
+    report_views(tag, "reviews", f"{tag}_scored")
+    return f"{tag}_scored"
+
+
+_POINTS = [(f"cs{n}{'s' if sub else 'p'}", n, sub) for n in (1, 5, 10) for sub in (True, False)]
+
+
+@query("tun_02_content_sweep", " UNION ALL ".join(
+    report_sql(tag, "reviews", sweep_views(tag, n, sub), f"ngram_range = (1, {n}), sublinear_tf = {sub}") for tag, n, sub in _POINTS),
+    " ".join(f"reviews {tag}_scored {tag}_nov {tag}_gain" for tag, _, _ in _POINTS))
+def content_sweep(v):
+    return rounded(tuning.sweep_content(v.reviews), *report.STANDARD)
+
+
+VIEWS["disc_rated"] = ("discounted", "SELECT user_id, business_id, date_dist_rating AS rating FROM discounted")
+report_views("dr", "disc_rated", "dr_scored")
+VIEWS["dr_train"] = ("disc_rated", f"SELECT * FROM disc_rated WHERE substr({_HASH}, 1, 12) < 'cccccccccccc'")
+VIEWS |= factor_views.svdpp_views("dr_train", "rating", "dv", SVDPP)
+VIEWS["dr_scored"] = factor_views.svdpp_scored("dr_test", "dv", SVDPP)
+
+
+@query("pip_06_discounted_report", report_sql("dr", "disc_rated", "dr_scored", "svdpp").replace(", 6)", ", 5)"),
+       "disc_rated dr_scored dr_nov dr_gain")
 def discounted_report(v):
-    return jobs.discounted_job(v.ratings, v.business, SVDPP).report("svdpp")
+    row = jobs.discounted_job(v.ratings, v.business, SVDPP).report("svdpp")
+    return row.withColumns({c: F.round(c, 5) for c in report.STANDARD})
 
 
 @query("pip_07_neural_report")
 def neural_report(v):
-    return jobs.neural_job(rel.full_view(wide(v)), NeuralModel(epochs=1)).report("neural")
+    return jobs.neural_job(rel.full_view(wide(v))).report("neural")
 
 
 @query("pip_07_neural_cohorts")
 def neural_cohorts(v):
-    return jobs.neural_cohorts(v.train, v.test, NeuralModel(epochs=1))
+    return jobs.neural_cohorts(v.train, v.test)
 
 
-@query("pip_08_interaction_report")
-def interaction_report(v):
-    return jobs.interaction_job(v.ratings, LOGISTIC)
+# The job numbers users and items before it splits.
+VIEWS["coded"] = ("ratings", """
+    SELECT u.code AS user_id, i.code AS business_id, r.rating FROM ratings r
+    JOIN (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS code FROM (SELECT DISTINCT user_id FROM ratings)) u
+      ON u.user_id = r.user_id
+    JOIN (SELECT business_id, row_number() OVER (ORDER BY business_id) - 1 AS code
+          FROM (SELECT DISTINCT business_id FROM ratings)) i ON i.business_id = r.business_id""")
+VIEWS["coded_train"] = ("coded", f"SELECT * FROM coded WHERE substr({_HASH}, 1, 12) < 'cccccccccccc'")
+VIEWS["coded_test"] = ("coded", f"SELECT * FROM coded WHERE substr({_HASH}, 1, 12) >= 'cccccccccccc'")
+VIEWS |= factor_views.logistic_views("coded_train", "cl", LOGISTIC)
+VIEWS |= factor_views.epoch_measures("cl", LOGISTIC.epochs, LOGISTIC.factors, "coded_train", "coded_test", K, "cl_last")
 
 
+@query("pip_08_interaction_report", f"SELECT {shown(*_SWEPT)}, prec_at_k FROM cl_last", "cl_last")
+def interaction_report(v):
+    return rounded(jobs.interaction_job(v.ratings, LOGISTIC, K), *_SWEPT)

@@ -45,15 +45,16 @@ VIEWS: dict[str, tuple[str, str]] = {
                    FROM interactions GROUP BY user_id) a ON a.user_id = c.c_custkey"""),
     "tip": ("ratings", """
         SELECT r.business_id, r.user_id, d.text, r.date, (r.user_id + r.business_id) % 3 AS compliment_count
-        FROM ratings r JOIN documents d ON d.doc_id = (r.user_id * 31 + r.business_id) % 200
+        FROM ratings r JOIN documents d ON d.doc_id = (r.user_id * 31 + r.business_id) % (SELECT count(*) FROM documents)
         WHERE (r.user_id + r.business_id) % 4 = 0"""),
     "reviews": ("", """
-        SELECT doc_id, doc_id % 40 AS user_id, (doc_id * 7 + doc_id % 3) % 25 AS business_id,
+        SELECT doc_id, doc_id % greatest(40, (SELECT count(*) FROM documents) // 10) AS user_id,
+               (doc_id * 7 + doc_id % 3) % greatest(25, (SELECT count(*) FROM documents) // 20) AS business_id,
                CAST(1 + n_chars % 5 AS DOUBLE) AS rating, text,
                TIMESTAMP '2015-01-01 00:00:00' + to_days(CAST(doc_id % 1000 AS INTEGER)) AS date
         FROM documents"""),
     "photos": ("", """
-        SELECT url AS caption, concat('p', CAST(page_id AS VARCHAR)) AS photo_id, page_id % 25 AS business_id,
+        SELECT url AS caption, concat('p', CAST(page_id AS VARCHAR)) AS photo_id, page_id % greatest(25, (SELECT count(*) FROM pages) // 10) AS business_id,
                CASE page_id % 3 WHEN 0 THEN 'food' WHEN 1 THEN 'inside' ELSE 'outside' END AS label
         FROM pages"""),
     "item_content": ("", "SELECT vec_id AS business_id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings"),

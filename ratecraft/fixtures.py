@@ -94,22 +94,28 @@ class Views:
     @cached_property
     def tip(self) -> DataFrame:
         texts = self.raw("documents").select("doc_id", "text")
-        marked = self.ratings.filter((F.col(USER) + F.col(ITEM)) % 4 == 0)
-        return marked.join(texts, (F.col(USER) * 31 + F.col(ITEM)) % 200 == F.col("doc_id")).select(
+        n_docs = texts.agg(F.count(F.lit(1))).scalar()
+        marked = self.ratings.filter((F.col(USER) + F.col(ITEM)) % 4 == 0).withColumn(
+            "doc_id", (F.col(USER) * 31 + F.col(ITEM)) % n_docs)
+        return marked.join(texts, "doc_id").select(
             ITEM, USER, "text", "date", ((F.col(USER) + F.col(ITEM)) % 3).alias("compliment_count"))
 
     @cached_property
     def reviews(self) -> DataFrame:
-        return self.raw("documents").selectExpr(
-            "doc_id", "doc_id % 40 AS user_id", "(doc_id * 7 + doc_id % 3) % 25 AS business_id",
+        """Users and items grow with the documents: one for 10 and for 20 of them, 40 and 25 at least."""
+        docs = self.raw("documents")
+        sized = docs.withColumn("_n", docs.agg(F.count(F.lit(1))).scalar())
+        return sized.selectExpr(
+            "doc_id", "doc_id % greatest(40L, _n div 10) AS user_id", "(doc_id * 7 + doc_id % 3) % greatest(25L, _n div 20) AS business_id",
             "CAST(1 + n_chars % 5 AS DOUBLE) AS rating", "text",
             "timestamp_ntz'2015-01-01 00:00:00' + make_dt_interval(CAST(doc_id % 1000 AS INT)) AS date")
 
     @cached_property
     def photos(self) -> DataFrame:
-        return self.raw("pages").selectExpr(
+        pages = self.raw("pages")
+        return pages.withColumn("_n", pages.agg(F.count(F.lit(1))).scalar()).selectExpr(
             "url AS caption", "concat('p', CAST(page_id AS STRING)) AS photo_id",
-            "page_id % 25 AS business_id", "CASE page_id % 3 WHEN 0 THEN 'food' WHEN 1 THEN 'inside' "
+            "page_id % greatest(25L, _n div 10) AS business_id", "CASE page_id % 3 WHEN 0 THEN 'food' WHEN 1 THEN 'inside' "
             "ELSE 'outside' END AS label")
 
     @cached_property

@@ -21,7 +21,13 @@ from ratecraft.functions.scalar import clip
 from ratecraft.operators.ranking import encode_ids
 from ratecraft.session import cut_lineage, stored_copy
 
-_STEPS = 1 << 20
+_STEPS = 1 << 48
+
+
+def digest_number(*parts: Column) -> Column:
+    """A number from 0 to 2^48 - 1 by the digest of the parts; any engine with md5 draws the same one."""
+    text = F.concat_ws(":", *(p.cast("string") for p in parts))
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
 
 def _names(prefix: str, k: int) -> list[str]:
@@ -33,9 +39,8 @@ def _dot(left: str, right: str, k: int) -> Column:
 
 
 def _start(table: DataFrame, key: str, prefix: str, k: int, seed: int, scale: float = 0.1) -> DataFrame:
-    """Start values spread over [-scale, scale] by a hash of the id, the same on every run."""
-    spread = {f"{prefix}{j}": (F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.lit(j)), F.lit(_STEPS)) / F.lit(float(_STEPS))
-                               - F.lit(0.5)) * F.lit(2.0 * scale) for j in range(k)}
+    """Start values spread over [-scale, scale] by a digest of the id, the same on every run."""
+    spread = {f"{prefix}{j}": (digest_number(F.col(key), F.lit(seed), F.lit(j)) / F.lit(float(_STEPS)) - F.lit(0.5)) * F.lit(2.0 * scale) for j in range(k)}
     return table.withColumns(spread)
 
 
@@ -153,7 +158,7 @@ class FittedLogistic:
 
 @dataclass
 class LogisticModel:
-    """Logistic matrix factorisation of interactions (Johnson 2014) with hashed negatives."""
+    """Logistic matrix factorisation of interactions (Johnson 2014) with drawn negatives."""
 
     factors: int = 10
     epochs: int = 10
@@ -163,13 +168,13 @@ class LogisticModel:
     seed: int = 11
 
     def samples(self, interactions: DataFrame) -> DataFrame:
-        """(user, item, label): the distinct pairs, and per pair some hash-chosen items the user has not met."""
+        """(user, item, label): the distinct pairs, and per pair some items drawn by digest the user has not met."""
         positive = interactions.select(*PAIR).distinct()
         codes = encode_ids(positive, ITEM)
         n_items = codes.agg(F.count(F.lit(1))).scalar()
         draws = F.explode(F.array(*(F.lit(s) for s in range(self.negatives)))).alias("draw")
         drawn = positive.select(*PAIR, draws).select(
-            USER, F.pmod(F.xxhash64(USER, ITEM, "draw", F.lit(self.seed)), n_items).alias("code"))
+            USER, (digest_number(F.col(USER), F.col(ITEM), F.col("draw"), F.lit(self.seed)) % n_items).alias("code"))
         negative = drawn.join(codes, "code").select(*PAIR).distinct().join(positive, PAIR, "left_anti")
         return positive.withColumn("label", F.lit(1)).unionByName(negative.withColumn("label", F.lit(0)))
 
