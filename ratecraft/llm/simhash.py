@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ratecraft.llm.common import slices, text_of
 from ratecraft.llm.graph import components
@@ -67,6 +68,17 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(kernel, "doc_id long, fp long")
 
 
+def _with_fingerprint(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All columns of the rows, and their fingerprint."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                texts = text_of(part.column(part.schema.get_field_index("text")))
+                found = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.view(np.int64))], [*part.schema.names, "_fp"])
+    return kernel
+
+
 def quarter_counts(fps: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps.view("<u2").reshape(-1, 4)).astype(np.int64)
 
@@ -229,7 +241,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     Of rows that share this id one stays. Columns are those of ``docs``.
     """
     found = near_duplicates(docs, shingle, radius)
-    kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("doc_id").alias("_kept_id"), F.col("root").alias("_kept_root")).agg(F.lit(True).alias("_kept")))
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")))
-    return joined.dropDuplicates(["_kept_id", "_kept_root"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    # Plain equality: the texts are shuffled once, for the join, and rows of one id then lie together.
+    kept = (found.filter(F.col("doc_id") == F.col("component_id"))
+            .groupBy(F.col("doc_id").alias("_kept_id")).agg(F.lit(True).alias("_kept")))
+    named = docs.join(kept, F.col("doc_id") == F.col("_kept_id")).dropDuplicates(["_kept_id"])
+    # Components of documents without an id are told apart by their fingerprints, taken anew.
+    roots = (found.filter("doc_id is null and component_id is null")
+             .groupBy(F.col("fp").alias("_kept_fp")).agg(F.first("root").alias("_kept_root")))
+    without_id = docs.filter("doc_id is null")
+    printed = without_id.mapInArrow(_with_fingerprint(shingle), StructType([*docs.schema.fields, StructField("_fp", LongType())]))
+    nameless = printed.join(roots, F.col("_fp") == F.col("_kept_fp")).dropDuplicates(["_kept_root"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return named.select(*columns).unionByName(nameless.select(*columns))
