@@ -283,7 +283,8 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER, quantile:
     docs = docs.select("doc_id", "lang", "text")
     marked = trusted_ids.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct()
     marked = marked.withColumn("_held", F.crc32(F.col("_id").cast("string")) % CALIBRATION == 0)
-    trained = docs.join(marked.filter("not _held"), F.col("doc_id") == F.col("_id"), "left_semi")
+    # One way for every size: texts and ids meet by a shuffle, whether or not the ids would fit a broadcast.
+    trained = docs.join(marked.filter("not _held").hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
     found = stored_copy(scored(docs, model_rows(trained, order), order, shard_rows), "scored")
     known = found.join(marked, F.col("doc_id") == F.col("_id")).filter("chars > 0")
     mean = known.groupBy("lang").agg((-F.sum("logp") / F.sum("chars")).alias("mean"))
