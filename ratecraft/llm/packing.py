@@ -29,7 +29,7 @@ END_ID = 2
 #: Pieces shorter than this are not cut any more.
 WHOLE_BELOW = 128
 #: Words whose ids a Python worker remembers; beyond that it starts anew (about 150 bytes each).
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 800_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _TYPES = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
