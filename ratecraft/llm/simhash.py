@@ -68,13 +68,13 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(kernel, "doc_id long, fp long")
 
 
-def _with_fingerprint(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _with_fingerprint(of: Callable[[str], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """All columns of the rows, and their fingerprint."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 texts = text_of(part.column(part.schema.get_field_index("text")))
-                found = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
+                found = np.array([of(t) for t in texts], dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.view(np.int64))], [*part.schema.names, "_fp"])
     return kernel
 
@@ -240,7 +240,11 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
 
     Of rows that share this id one stays. Columns are those of ``docs``.
     """
-    found = near_duplicates(docs, shingle, radius)
+    return keep_least(docs, near_duplicates(docs, shingle, radius), lambda text: fingerprint(text, shingle))
+
+
+def keep_least(docs: DataFrame, found: DataFrame, of: Callable[[str], int]) -> DataFrame:
+    """``keep_one`` by the components ``found``; ``of`` gives a text's fp there."""
     # Plain equality: the texts are shuffled once, for the join, and rows of one id then lie together.
     kept = (found.filter(F.col("doc_id") == F.col("component_id"))
             .groupBy(F.col("doc_id").alias("_kept_id")).agg(F.lit(True).alias("_kept")))
@@ -249,7 +253,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     roots = (found.filter("doc_id is null and component_id is null")
              .groupBy(F.col("fp").alias("_kept_fp")).agg(F.first("root").alias("_kept_root")))
     without_id = docs.filter("doc_id is null")
-    printed = without_id.mapInArrow(_with_fingerprint(shingle), StructType([*docs.schema.fields, StructField("_fp", LongType())]))
+    printed = without_id.mapInArrow(_with_fingerprint(of), StructType([*docs.schema.fields, StructField("_fp", LongType())]))
     nameless = printed.join(roots, F.col("_fp") == F.col("_kept_fp")).dropDuplicates(["_kept_root"])
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return named.select(*columns).unionByName(nameless.select(*columns))

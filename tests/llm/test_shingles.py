@@ -1,0 +1,60 @@
+import random
+from itertools import combinations
+
+import corpus_pipeline
+from brute import words
+
+from ratecraft.llm import shingles, simhash
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def plain(text):
+    found = text.lower().split()
+    return {tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4))}
+
+
+def edited(rng, text, changes):
+    found = text.split()
+    for at in rng.sample(range(len(found)), changes):
+        found[at] = f"new{rng.randrange(10 ** 6)}"
+    return " ".join(found)
+
+
+def documents(rng):
+    base = [" ".join(f"{w}{rng.randrange(40)}" for w in words(rng, 230).split()) for _ in range(25)]
+    texts = base + [edited(rng, b, rng.randrange(1, 9)) for b in base for _ in range(4)]
+    # A chain whose ends are far from each other, and a text that shares half of another.
+    chain = [base[0]]
+    for _ in range(8):
+        chain.append(edited(rng, chain[-1], 3))
+    half = base[1].split()[:115] + base[2].split()[115:]
+    return texts + chain[1:] + [" ".join(half), None, "", "one two", "ONE two", "one three", base[3]]
+
+
+def classes(texts):
+    sets, root = [plain(t or "") for t in texts], list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, j in combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            a, b = sorted((top(i), top(j)))
+            root[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
+def test_near_copies_against_all_pairs(spark):
+    texts = documents(random.Random(4))
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([*rows, (None, texts[0], "", "", 1)], SCHEMA).repartition(3)
+    want = classes(texts)
+    found = {r.doc_id: r.component_id for r in shingles.near_copies(df).collect()}
+    assert [found[i] for i in range(len(texts))] == want and found[None] == want[0]
+    kept = corpus_pipeline.one_of_near_copies(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
+    # The fingerprints of op8 leave most of these copies.
+    assert len({r.component_id for r in simhash.near_duplicates(df).collect()}) > len(set(want))
