@@ -23,8 +23,10 @@ BUCKETS = 1 << 13
 CENTROIDS = 4
 #: Bound of the sample that centroids are fitted on: documents of one language.
 SAMPLE = 400
-#: Reject below this part of the cosine that all but ``TAIL`` of the sample reach.
-SLACK, TAIL = 0.25, 0.005
+#: Reject below this part of the cosine that all but ``TAIL`` of the sample's texts of that length reach.
+SLACK, TAIL = 0.9, 0.005
+#: Lengths are told apart by the power of two of the number of n-grams.
+LENGTHS = 24
 UNDETERMINED = "und"
 
 _letters: list[np.ndarray] = []
@@ -59,15 +61,21 @@ def grams(text: str) -> np.ndarray | None:
     return out >> np.uint32(32 - 13)
 
 
-def vectors(texts: list[str], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors, and which texts have a letter."""
-    out, real = np.zeros((len(texts), BUCKETS), dtype=np.float32), np.zeros(len(texts), dtype=bool)
+def measured(texts: list[str], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, and the texts' lengths in powers of two of n-grams, -1 if a text has no letter."""
+    out, length = np.zeros((len(texts), BUCKETS), dtype=np.float32), np.full(len(texts), -1)
     for i, text in enumerate(texts):
         found = grams(text)
         if found is not None:
             row = np.log1p(np.bincount(found, minlength=BUCKETS)) * weight
-            out[i], real[i] = row / max(np.sqrt(row @ row), 1e-12), True
-    return out, real
+            out[i], length[i] = row / max(np.sqrt(row @ row), 1e-12), min(len(found).bit_length(), LENGTHS - 1)
+    return out, length
+
+
+def vectors(texts: list[str], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, and which texts have a letter."""
+    out, length = measured(texts, weight)
+    return out, length >= 0
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,17 +109,45 @@ def clusters(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return out
 
 
+def limits(texts: list[str], points: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
+    """Least cosine of an accepted text for every length; ``points`` are the vectors of ``texts``.
+
+    A length that too few texts have for the quantile takes the limit of the next shorter one, or else of the shortest.
+    """
+    found: list[list[np.ndarray]] = [[] for _ in range(LENGTHS)]
+    half = np.arange(len(texts)) % 2
+    for side in (0, 1):
+        own = [texts[i] for i in np.flatnonzero(half == side)]
+        others = points[half != side] if len(texts) > 1 else points
+        centres = clusters(others, k)
+        for size in (None, *(2 ** p for p in range(1, LENGTHS - 2))):
+            # The whole texts, and the starts of those that are longer.
+            part = own if size is None else [t[:size] for t in own if len(t) > size]
+            for at in range(0, len(part), 64):
+                close, length = measured(part[at:at + 64], weight)
+                best = (close @ centres.T).max(axis=1)
+                for n in set(length[length >= 0].tolist()):
+                    found[n].append(best[length == n])
+    all_of = [np.concatenate([np.zeros(0), *f]) for f in found]
+    enough = max(1, min(round(1 / TAIL), len(texts) // 2, max(map(len, all_of))))
+    known = np.flatnonzero([len(f) >= enough for f in all_of])
+    out = np.zeros(LENGTHS)
+    out[known] = [SLACK * float(np.quantile(all_of[i], TAIL)) for i in known]
+    return out[known[np.maximum(np.searchsorted(known, np.arange(LENGTHS), "right") - 1, 0)]]
+
+
 def _centroids(weight: np.ndarray, k: int) -> Callable[[pa.Table], pa.Table]:
     def fit(sample: pa.Table) -> pa.Table:
         lang = sample.column("lang")[0].as_py()
         order = np.argsort([x for x in sample.column("rank").to_pylist()], kind="stable")
-        texts = [text_of(sample.column("text"))[i] for i in order]
+        texts = text_of(sample.column("text"))
+        texts = [texts[i] for i in order]
         points, real = vectors(texts, weight)
-        points = points[real]
+        points, texts = points[real], [t for t, r in zip(texts, real) if r]
         if not len(points):
-            return pa.table({"lang": pa.array([], pa.string()), "centre": pa.array([], pa.binary()), "least": pa.array([], pa.float64())})
+            return pa.table({"lang": pa.array([], pa.string()), "centre": pa.array([], pa.binary()), "least": pa.array([], pa.binary())})
         centres = clusters(points, k)
-        least = SLACK * float(np.quantile((points @ centres.T).max(axis=1), TAIL))
+        least = limits(texts, points, weight, k).tobytes()
         return pa.table({"lang": [lang] * len(centres), "centre": [c.tobytes() for c in centres], "least": [least] * len(centres)})
     return fit
 
@@ -132,11 +168,11 @@ def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> b
     limit = F.create_map(*[F.lit(x) for lang, s in share.items() for x in (lang, int(s * (1 << 40)))])
     chosen = (train.withColumn("rank", rank).filter(F.col("rank") < limit[F.col("lang")])
               .dropDuplicates(["lang", "rank"]))
-    found = (chosen.groupBy("lang").applyInArrow(_centroids(weight, centroids), "lang string, centre binary, least double")
+    found = (chosen.groupBy("lang").applyInArrow(_centroids(weight, centroids), "lang string, centre binary, least binary")
              .orderBy("lang", "centre").collect())
     if not found:
         return None
-    return packed(weight=weight, lang=np.array([r.lang for r in found]), least=np.array([r.least for r in found]),
+    return packed(weight=weight, lang=np.array([r.lang for r in found]), least=np.array([np.frombuffer(r.least) for r in found]),
                   centre=np.array([np.frombuffer(r.centre, dtype=np.float32) for r in found]))
 
 
@@ -151,11 +187,12 @@ def _predict(model: bytes | None) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                 n = part.num_rows
                 lang, score, far = [UNDETERMINED] * n, np.zeros(n), np.ones(n, dtype=bool)
                 if known is not None:
-                    points, real = vectors(text_of(part.column(1)), known["weight"])
+                    points, length = measured(text_of(part.column(1)), known["weight"])
+                    real = length >= 0
                     cosine = points @ known["centre"].T
                     best = np.argmax(cosine, axis=1)
                     score = np.where(real, np.clip(cosine[np.arange(n), best], 0, 1), 0.0).astype(np.float64)
-                    far = ~real | (score < known["least"][best])
+                    far = ~real | (score < known["least"][best, length])
                     lang = [str(known["lang"][b]) if r else UNDETERMINED for b, r in zip(best, real)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang), pa.array(score), pa.array(far)],
                                                  ["doc_id", "lang_pred", "score", "rejected"])

@@ -54,3 +54,21 @@ def test_without_rows(spark):
     assert langid.fit(df) is None and langid.predict(df, None).collect() == []
     one = spark.createDataFrame([(1, words(random.Random(0), 9), "aa", "", 1, "", 1)], SCHEMA)
     assert langid.predict(one, None).first().rejected and langid.keep_known(one, None).count() == 0
+
+
+def test_left_out_language_and_gibberish_are_rejected(spark):
+    rng = random.Random(5)
+    learnt = {"aa": "ka lo mi tu sa".split(), "bb": "strend gruft klamm zwack".split()}
+    rows = []
+    for i in range(300):
+        lang = rng.choice(list(learnt))
+        text = " ".join(rng.choice(learnt[lang]) + rng.choice(learnt[lang]) for _ in range(rng.randrange(1, 80)))
+        rows.append((i, text, lang, "s", 1, "src", len(text)))
+    foreign = [" ".join(rng.choice("quiv phex joor wyd".split()) + rng.choice("eng ophy ird".split()) for _ in range(rng.randrange(8, 60))) for _ in range(40)]
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(3, 9))) for _ in range(rng.randrange(8, 60))) for _ in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = langid.fit(langid.training_rows(df))
+    strange = spark.createDataFrame([(1000 + i, t, None, "s", 1, "src", 0) for i, t in enumerate(foreign + noise)], SCHEMA)
+    assert sum(r.rejected for r in langid.predict(strange, model).collect()) >= 78
+    # Clean rows stay, also the third that the model has not seen.
+    assert sum(r.rejected for r in langid.predict(df, model).collect()) <= 3
