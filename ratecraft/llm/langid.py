@@ -161,9 +161,10 @@ def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> b
         return None
     seen = np.array([sums.get(i, 0) for i in range(BUCKETS)], dtype=np.float64)
     weight = (np.log((1 + docs) / (1 + seen)) + 1).astype(np.float32)
-    # About ``sample`` rows of each language, by the hash of the text: every copy of a text has the same hash.
+    # About ``sample`` texts of each language, by the hash of the text: every copy of a text has the same hash, and
+    # counts once, so that copies do not crowd out the others.
     rank = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
-    sizes = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = train.select("lang", rank.alias("rank")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = {row.lang: min(1.0, sample / row.n) for row in sizes.collect()}
     limit = F.create_map(*[F.lit(x) for lang, s in share.items() for x in (lang, int(s * (1 << 40)))])
     chosen = (train.withColumn("rank", rank).filter(F.col("rank") < limit[F.col("lang")])

@@ -72,3 +72,13 @@ def test_left_out_language_and_gibberish_are_rejected(spark):
     assert sum(r.rejected for r in langid.predict(strange, model).collect()) >= 78
     # Clean rows stay, also the third that the model has not seen.
     assert sum(r.rejected for r in langid.predict(df, model).collect()) <= 3
+
+
+def test_copies_do_not_crowd_a_language_out_of_the_sample(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices(SOUNDS["aa"], k=9)), "aa", "s", 1, "src", 0) for i in range(60)]
+    rows += [(100 + i, " ".join(rng.choices(SOUNDS["bb"], k=9)), "bb", "s", 1, "src", 0) for i in range(60)]
+    rows += [(1000 + i, "strend gruft", "bb", "s", 1, "src", 0) for i in range(20_000)]
+    known = langid.unpacked(langid.fit(spark.createDataFrame(rows, SCHEMA), sample=40))
+    # By rows, the share of "bb" gave 40 / 20,060 of its 61 texts: none as a rule.
+    assert known["lang"].tolist().count("bb") == langid.CENTROIDS
