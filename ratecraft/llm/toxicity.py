@@ -40,6 +40,9 @@ THRESHOLD = 0.7
 #: Words that a Python worker remembers; beyond that it starts anew.
 CACHED_WORDS = 1_000_000
 
+#: Longer forms are also read through windows of these widths, a quarter apart: all places, and words of all lengths.
+LONG, WIDTHS = 24, (8, 12, 24, 48)
+
 _PATTERNS = [(a, b) for b in range(2, 5) for a in range(1, b)]
 _FIRST, _LAST = 62, 63
 _parts = re.compile(r"[^\W\d_]+").findall
@@ -62,6 +65,15 @@ def forms(unit: str) -> list[str]:
     return ["".join(runs), *(r for r in runs if len(r) > 2)]
 
 
+def windows(form: str) -> Iterator[str]:
+    """What of a form is compared: the form as a word, and if it is long, the parts that cover all of it."""
+    if len(form) <= 64:
+        yield form
+    if len(form) > LONG:
+        for width in WIDTHS:
+            yield from (form[at:at + width] for at in range(0, max(1, len(form) - width + width // 4), width // 4))
+
+
 def _code(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 35
 
@@ -169,11 +181,11 @@ class Kernel:
         return np.concatenate(out)
 
     def learn(self, new: set[str]) -> None:
-        if len(self.seen) > CACHED_WORDS:
+        if max(len(self.seen), len(self.seen_forms)) > CACHED_WORDS:
             for held in (self.seen, self.seen_forms, self.close, self.close_forms):
                 held.clear()
         new = new - self.seen
-        read = {u: [f[:64] for f in forms(u)] for u in new}
+        read = {u: {w for f in forms(u) for w in windows(f)} for u in new}
         fresh = sorted({f for fs in read.values() for f in fs} - self.seen_forms)
         for at in range(0, len(fresh), 20_000):
             part = fresh[at:at + 20_000]

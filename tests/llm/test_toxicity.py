@@ -76,3 +76,25 @@ def test_without_classes(spark):
     assert toxicity.fit(df, none) is None and toxicity.fit(df, clean) is None and toxicity.fit(df.limit(0), clean) is None
     assert {(r.score, r.predicted) for r in toxicity.score(df, None).collect()} == {(0.0, 0)}
     assert toxicity.score(df.limit(0), None).collect() == []
+
+
+def test_insult_deep_in_a_long_run():
+    rng = random.Random(8)
+    kernel = toxicity.Kernel(INSULTS)
+    for insult in INSULTS:
+        clean = "".join(words(rng, 60).split())
+        glued = clean[:100] + insult + clean[100:]
+        kept, found, spelled = kernel.describe([clean, glued, " ".join(glued)])
+        at = INSULTS.index(insult)
+        # The insult is seen as if it stood with few letters around it, not as a part of a word of hundreds.
+        assert found[at] > 0.4 and spelled[at] > 0.4 and kept[at] < found[at] - 0.2
+        early = kernel.describe([clean[:30] + insult + clean[30:60]])
+        assert early[0][at] > 0.4
+
+
+def test_windows_cover_every_place():
+    for n in (25, 63, 64, 65, 200, 201, 203):
+        form = "".join(chr(0x4E00 + i) for i in range(n))
+        seen = list(toxicity.windows(form))
+        assert all(any(form[at:at + 19] in w for w in seen) for at in range(n - 18))
+    assert list(toxicity.windows("blockhead")) == ["blockhead"]
