@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm import chat, decontaminate, langid, packing, quality, secrets, simhash, topk, toxicity, warc
+from ratecraft.llm import chat, decontaminate, langid, packing, quality, secrets, simhash, topk, toxicity, warc, weighted
 from ratecraft.llm.common import held_out, table
 from ratecraft.session import configure, new_path
 
@@ -126,3 +126,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = langid.predict(docs, langid.fit(langid.training_rows(docs)))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op11_weighted_fingerprints")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted.edits_and_neighbours(table(spark, folder, "documents"))
