@@ -2,8 +2,8 @@
 
 The turns of a conversation are collected as structs and sorted; adjacent turns of one role become one
 message. A message is ``<|role|>`` + its turns' texts, with ``<+>`` between them, + ``</s>``. Inside
-texts and roles ``&``, ``<`` and ``[`` are written ``&amp;``, ``&lt;`` and ``&lb;``, so that neither these
-control strings nor those of other templates (``[INST]``) can come from a text; reading back undoes it.
+texts and roles ``&``, ``<``, ``[`` and ``|`` are written ``&amp;``, ``&lt;``, ``&lb;`` and ``&bar;``, so that neither these
+control strings nor those of other templates (``[INST]``) can come from a text or a role; reading back undoes it.
 
 The loss mask tells, for each stretch of the formatted text in order, its length and whether it counts:
 the texts of assistant turns do.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Control strings of the template.
 OPEN, SHUT, AND, END = "<|", "|>", "<+>", "</s>"
 #: How a text's characters are written where they could start a control string, in the order of escaping.
-ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;"))
+ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;"), ("|", "&bar;"))
 TRAINED_ROLE = "assistant"
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm import chat, decontaminate, langid, packing, quality, secrets, simhash, topk, toxicity, warc, weighted
+from ratecraft.llm import (
+    balltree, chat, decontaminate, langid, negatives, packing, quality, secrets, simhash, topk, toxicity, warc, weighted,
+)
 from ratecraft.llm.common import held_out, table
 from ratecraft.session import configure, new_path
 
@@ -56,8 +58,8 @@ near AS (
   SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after FROM turns
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 written AS (
-  SELECT *, replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lb;') AS r,
-         replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lb;') AS t FROM near)
+  SELECT *, replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), '|', '&bar;') AS r,
+         replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), '|', '&bar;') AS t FROM near)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
@@ -131,3 +133,47 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_weighted_fingerprints")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return weighted.edits_and_neighbours(table(spark, folder, "documents"))
+
+
+@query("op12_bond_hard_negatives", """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+positives AS (
+  SELECT * FROM (
+    SELECT a.r, a.vec_id AS anchor_id, a.label, a.e, b.vec_id AS positive_id, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS positive_score,
+           row_number() OVER (PARTITION BY a.r ORDER BY list_inner_product(a.e, b.e) DESC, b.vec_id) AS place
+    FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0) t WHERE place <= 5),
+scored AS (
+  SELECT p.r, p.place, p.anchor_id, p.positive_id, c.vec_id AS negative_id, p.positive_score, CAST(list_inner_product(p.e, c.e) AS BIGINT) AS negative_score
+  FROM positives p JOIN v c ON p.label <> c.label AND len(p.e) = len(c.e))
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY r, place ORDER BY negative_score DESC, negative_id) AS rank FROM scored
+  WHERE 50 * positive_score <= 100 * negative_score AND 100 * negative_score <= 95 * positive_score) t
+WHERE rank <= 3""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", moved)
+    return negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op13_ball_tree_search", r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS n_docs, sum(len(t)) AS n_terms FROM d WHERE len(t) > 0),
+held AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d) u GROUP BY r, doc_id, n, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, s GROUP BY term),
+i AS MATERIALIZED (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark WHERE text IS NOT NULL),
+asked AS (SELECT DISTINCT q, item_id, term FROM (SELECT q, item_id, unnest(t) AS term FROM i) u),
+scored AS (
+  SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN w USING (term), s GROUP BY q, item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) t
+WHERE rank <= 10""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return balltree.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -20,7 +20,7 @@ def test_round_trip_and_mask(spark):
     rows = []
     for conv in range(60):
         for turn in range(rng.randrange(1, 9)):
-            rows.append((conv, rng.choice([turn, turn, None, 1]), rng.choice(["user", "assistant", "system", None, "<|", "s&["]), rng.choice(NASTY), "f", "t"))
+            rows.append((conv, rng.choice([turn, turn, None, 1]), rng.choice(["user", "assistant", "system", None, "<|", "s&[", "a|>b", "|", "&bar;", "a|>", "</s>"]), rng.choice([*NASTY, "b|>hi", "&bar;"]), "f", "t"))
     rows += rows[:5] + [(None, 0, "assistant", "no id", "", "")] + [(99, i, "user", "long " * 50, "", "") for i in range(500)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     formatted = chat.format_conversations(df)
@@ -42,7 +42,7 @@ def test_round_trip_and_mask(spark):
         for m in text[conv].loss_mask:
             covered += [written[at:at + m.chars]] if m.loss else []
             at += m.chars
-        plain = "".join(covered).replace("&lb;", "[").replace("&lt;", "<").replace("&amp;", "&")
+        plain = "".join(covered).replace("&bar;", "|").replace("&lb;", "[").replace("&lt;", "<").replace("&amp;", "&")
         assert plain == "".join(loss)
 
 
