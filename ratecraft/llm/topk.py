@@ -1,7 +1,7 @@
 """Exact top-k search by inner product over scaled integer vectors.
 
-Queries and candidates are cut into blocks by the hash of their id, and every pair of blocks is a tile: one
-matrix product, from which each query keeps its k best at once. The lists of a query are then merged
+Queries and candidates are cut into blocks, and every pair of blocks is a tile: matrix products of a few queries at
+a time with the candidates, from which each query keeps its k best at once. The lists of a query are then merged
 ``FAN`` at a time until one is left.
 """
 
@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratecraft.session import stored_copy
+
 SCALE = 1024
 K = 10
-#: Vectors of a block of queries and of a block of candidates.
-QUERIES, SHARD = 1024, 16384
+#: Vectors of a block of queries and of a block of candidates: a candidate travels once for each block of queries.
+QUERIES, SHARD = 32_768, 16_384
 #: Lists that one merge reads.
 FAN = 16
 
@@ -79,7 +81,7 @@ def _tile(k: int, scale: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 
 def _block(n: int):
-    return F.pmod(F.xxhash64("vec_id"), F.lit(n))
+    return F.pmod(F.xxhash64("row"), F.lit(n))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, query_rows: int = QUERIES,
@@ -89,13 +91,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
     Both tables have vec_id and embedding; other columns are not read. The score is the inner product of
     floor(scale * x); ties go to the smaller vec_id. A query's own id is no candidate. Rows with a null id,
     a null vector, or a null or non-finite component take no part, and vectors of another length than the
-    query's neither. Rows that repeat an id with the same vector count once; an id with several
-    vectors keeps the least of them. Scores beyond 64 bits are cut to that range. Empty tables give no row.
+    query's neither. Every row takes part, those too that repeat an id or a whole row: each is a candidate of its own,
+    and a query id of several rows has one list, of the best pairs of one of its rows and a candidate. Scores beyond 64 bits
+    are cut to that range. Empty tables give no row.
     """
     def sound(df: DataFrame) -> DataFrame:
         df = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
         fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-        return df.filter(F.col("vec_id").isNotNull() & fine).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+        # Stored with a number each, so that a row lies in one block whatever task is run again.
+        return stored_copy(df.filter(F.col("vec_id").isNotNull() & fine).withColumn("row", F.monotonically_increasing_id()), "vectors")
 
     vectors, queries = sound(vectors), sound(queries)
     n_queries, n_vectors = queries.count(), vectors.count()

@@ -7,14 +7,11 @@ SCHEMA = "vec_id long, embedding array<float>, score string, shard string, rank
 
 
 def brute(rows, queries, k):
-    fine = {}
-    for i, v, *_ in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            fine[i] = min(fine.get(i, v), v)
-    whole = {i: [math.floor(1024 * x) for x in v] for i, v in fine.items()}
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v, *_ in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in sorted(set(queries) & set(whole)):
-        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
+    for q in sorted(set(queries)):
+        scores = sorted((-sum(a * b for a, b in zip(w, v)), i) for j, w in whole if j == q for i, v in whole if i != q and len(v) == len(w))
         out += [(q, r, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, i) in enumerate(scores[:k], 1)]
     return out
 
@@ -42,3 +39,11 @@ def test_few_rows_large_values_and_empty_table(spark):
     check(spark, [(0, [1.0], "", "", 1), (1, [2.0], "", "", 1)], [0, 1])
     check(spark, [(0, [3e38, 1.0], "", "", 1), (1, [-3e38, 1.0], "", "", 1), (2, [1e9, 3e9], "", "", 1), (3, [1e9, 2e9], "", "", 1)], [0, 2])
     check(spark, [], [0])
+
+
+def test_ids_of_several_vectors(spark):
+    """No row is lost: the best of an id's vectors is found, and a query of two vectors has one list."""
+    rows = [(100, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0]), (1, [1.0, 0.0]), (7, [0.25, 0.0]), (7, [0.0, 0.5])]
+    rows = [(*r, "", "", 1) for r in rows]
+    check(spark, rows, [100, 7])
+    check(spark, rows, [100, 7], k=3, query_rows=1, shard_rows=2)
