@@ -68,14 +68,13 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(kernel, "doc_id long, fp long")
 
 
-def _with_fingerprint(of: Callable[[str], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """All columns of the rows, and their fingerprint."""
+def _with_fingerprint(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(text, row) to (row, fp)."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = text_of(part.column(part.schema.get_field_index("text")))
-                found = np.array([of(t) for t in texts], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.view(np.int64))], [*part.schema.names, "_fp"])
+                found = np.array([fingerprint(t, shingle) for t in text_of(part.column(0))], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found.view(np.int64))], ["row", "fp"])
     return kernel
 
 
@@ -238,22 +237,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The documents without near copies of others: of each component the one with the smallest doc_id stays.
 
-    Of rows that share this id one stays. Columns are those of ``docs``.
+    Of rows that share this id one stays. Columns are those of ``docs``, whatever they are called. Null texts count as empty,
+    and empty texts are copies of each other; a null doc_id stays only where no document of the component has an id.
+    An empty table gives no row.
     """
-    return keep_least(docs, near_duplicates(docs, shingle, radius), lambda text: fingerprint(text, shingle))
-
-
-def keep_least(docs: DataFrame, found: DataFrame, of: Callable[[str], int]) -> DataFrame:
-    """``keep_one`` by the components ``found``; ``of`` gives a text's fp there."""
-    # Plain equality: the texts are shuffled once, for the join, and rows of one id then lie together.
-    kept = (found.filter(F.col("doc_id") == F.col("component_id"))
-            .groupBy(F.col("doc_id").alias("_kept_id")).agg(F.lit(True).alias("_kept")))
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept_id")).dropDuplicates(["_kept_id"])
+    found = near_duplicates(docs, shingle, radius)
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    # Rows travel as one value, so no name of theirs can clash. Texts are shuffled once, and rows of one id then lie together.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    named = rows.select("doc_id", "row").join(kept, "doc_id").dropDuplicates(["doc_id"]).select("row")
     # Components of documents without an id are told apart by their fingerprints, taken anew.
-    roots = (found.filter("doc_id is null and component_id is null")
-             .groupBy(F.col("fp").alias("_kept_fp")).agg(F.first("root").alias("_kept_root")))
-    without_id = docs.filter("doc_id is null")
-    printed = without_id.mapInArrow(_with_fingerprint(of), StructType([*docs.schema.fields, StructField("_fp", LongType())]))
-    nameless = printed.join(roots, F.col("_fp") == F.col("_kept_fp")).dropDuplicates(["_kept_root"])
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return named.select(*columns).unionByName(nameless.select(*columns))
+    roots = found.filter("doc_id is null and component_id is null").groupBy("fp").agg(F.first("root").alias("root"))
+    without_id = rows.filter("doc_id is null").select("text", "row")
+    printed = without_id.mapInArrow(_with_fingerprint(shingle), StructType([without_id.schema["row"], StructField("fp", LongType())]))
+    nameless = printed.join(roots, "fp").dropDuplicates(["root"]).select("row")
+    return named.unionByName(nameless).select("row.*")
