@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft import ITEM, RATING, USER
-from ratecraft.session import cut_lineage, stored_copy
+from ratecraft.models.routes import Routes
+from ratecraft.session import cut_lineage
 
 
 @dataclass
@@ -41,26 +43,30 @@ class BiasModel:
     def fit(self, ratings: DataFrame) -> FittedBias:
         """Alternate the two regularised means; the user table is checkpointed every few epochs.
 
-        Every half step is a join of the ratings with one offset table and a grouped sum
-        that combines before the shuffle. The offset tables hold one row per key.
+        The ratings are laid out once by user and once by item; a half step sends offsets to the blocks that
+        need them and adds up what comes back. The offset tables hold one row per key.
         """
-        kept = stored_copy(ratings.select(USER, ITEM, RATING), "rows")  # read in every half step
-        mean = kept.agg(F.avg(RATING)).first()[0] or 0.0
-        centred = kept.select(USER, ITEM, (F.col(RATING) - F.lit(mean)).alias("dev"))
-        users: DataFrame | None = None
-        items: DataFrame | None = None
+        routes = Routes(ratings, RATING)
+        mean = routes.span[0] or 0.0
+        users = routes.ids[USER].withColumn("b_u", F.lit(0.0))
+        items = routes.ids[ITEM].withColumn("b_i", F.lit(0.0))
+
+        def less_far(value: np.ndarray, at: np.ndarray, to: np.ndarray, begins: np.ndarray, own: np.ndarray, far: np.ndarray) -> np.ndarray:
+            return np.add.reduceat(value - mean - far[to, 0], begins)[:, None]
+
         for epoch in range(1, self.epochs + 1):
-            left = centred if users is None else centred.join(users, USER)
-            other = F.lit(0.0) if users is None else F.col("b_u")
-            items = left.groupBy(ITEM).agg(self._shrunk(F.col("dev") - other, self.reg_item).alias("b_i"))
+            gaps = routes.step(ITEM, items, (), users, ("b_u",), less_far, ("gap",))
+            items = self._shrunk(routes.ids[ITEM], gaps, ITEM, "b_i", self.reg_item)
             if epoch == self.epochs:
                 items = cut_lineage(items)
-            users = centred.join(items, ITEM).groupBy(USER).agg(
-                self._shrunk(F.col("dev") - F.col("b_i"), self.reg_user).alias("b_u"))
+            gaps = routes.step(USER, users, (), items, ("b_i",), less_far, ("gap",))
+            users = self._shrunk(routes.ids[USER], gaps, USER, "b_u", self.reg_user)
             if epoch % self.checkpoint_every == 0 or epoch == self.epochs:
                 users = cut_lineage(users)
+        users, items = users.select(USER, "b_u"), items.select(ITEM, "b_i")
+        routes.close()
         return FittedBias(mean, users, items, self.low, self.high)
 
     @staticmethod
-    def _shrunk(deviation: Column, weight: float) -> Column:
-        return F.sum(deviation) / (F.lit(weight) + F.count(F.lit(1)))
+    def _shrunk(ids: DataFrame, gaps: DataFrame, key: str, name: str, weight: float) -> DataFrame:
+        return ids.join(gaps, key).select(*ids.columns, (F.col("gap") / (F.lit(weight) + F.col("n"))).alias(name))

@@ -1,10 +1,9 @@
 """Factor models trained by full-batch gradient steps on tables keyed by user and by item.
 
-Each factor is a column of its own, so predictions and gradient sums stay in generated
-code. A step joins the samples with both tables, sums gradients per key (combined before
-the shuffle) and moves every key by ``lr * sum / (1 + damping * lr * n)``: small groups
+Each factor is a column of its own. The samples are laid out once (``routes``); a step sends factor rows to their
+blocks, sums gradients per key there and moves every key by ``lr * sum / (1 + damping * lr * n)``: small groups
 follow the summed gradient, large ones a fraction of its mean, which keeps hot keys
-stable. No factor table is collected; tables are checkpointed once per epoch.
+stable. No factor table is collected; tables are checkpointed in every step.
 """
 
 from __future__ import annotations
@@ -13,13 +12,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft import ITEM, PAIR, PREDICTION, USER
 from ratecraft.functions.scalar import clip
+from ratecraft.models.routes import Routes
 from ratecraft.operators.ranking import encode_ids
-from ratecraft.session import cut_lineage, stored_copy
+from ratecraft.session import cut_lineage
 
 _STEPS = 1 << 48
 
@@ -30,6 +31,11 @@ def digest_number(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
 
+def _far_sums(value, at, to, begins, own, far):
+    """By own id: the sums of the other ids' states."""
+    return np.add.reduceat(far[to], begins)
+
+
 def _names(prefix: str, k: int) -> list[str]:
     return [f"{prefix}{j}" for j in range(k)]
 
@@ -81,57 +87,55 @@ class SvdppModel:
 
     def fit(self, ratings: DataFrame, target: str = "rating") -> FittedSvdpp:
         k = self.factors
-        # Stored once: every epoch reads the rows several times, and they may be the end of a long plan.
-        rows = stored_copy(ratings.select(*PAIR, F.col(target).alias("r")), "rows")
-        mean, low, high = rows.agg(F.avg("r"), F.min("r"), F.max("r")).first()
-        size = rows.groupBy(USER).agg(F.count(F.lit(1)).alias("n"))
-        users = _start(size.select(USER, "n", (F.lit(1.0) / F.sqrt("n")).alias("root"), F.lit(0.0).alias("bu")),
-                       USER, "p", k, self.seed)
-        # m ratings per item; c adds up the list lengths of its raters, for y moves with all items of a rater's list.
-        items = rows.join(size, USER).groupBy(ITEM).agg(
-            F.count(F.lit(1)).alias("m"), F.sum("n").alias("c")).withColumn("bi", F.lit(0.0))
+        routes = Routes(ratings, target)
+        mean, low, high = routes.span
+        users = _start(routes.ids[USER].withColumns({"root": F.lit(1.0) / F.sqrt("n"), "bu": F.lit(0.0)}), USER, "p", k, self.seed)
+        # c adds up the list lengths of an item's raters, for y moves with all items of a rater's list.
+        lengths = routes.step(ITEM, routes.ids[ITEM], (), users, ("n",), _far_sums, ("c",))
+        items = routes.ids[ITEM].join(lengths, ITEM).withColumn("bi", F.lit(0.0))
         items = _start(_start(items, ITEM, "q", k, self.seed + 1), ITEM, "y", k, self.seed + 2)
         users, items = cut_lineage(users), cut_lineage(items)
         for _ in range(self.epochs):
-            users, items = self._epoch(rows, users, items, mean)
-        return FittedSvdpp(mean, self._combined(rows, users, items).select(USER, "bu", *_names("w", k)),
-                           items.select(ITEM, "bi", *_names("q", k)), k, low, high)
+            users, items = self._epoch(routes, users, items, mean)
+        whole = cut_lineage(self._combined(routes, users, items).select(USER, "bu", *_names("w", k)))
+        routes.close()
+        return FittedSvdpp(mean, whole, items.select(ITEM, "bi", *_names("q", k)), k, low, high)
 
-    def _combined(self, rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    def _combined(self, routes: Routes, users: DataFrame, items: DataFrame) -> DataFrame:
         """Users with w = p + root * (sum of y over their items)."""
         k = self.factors
-        implicit = rows.join(items.select(ITEM, *_names("y", k)), ITEM).groupBy(USER).agg(
-            *(F.sum(f"y{j}").alias(f"z{j}") for j in range(k)))
+        implicit = routes.step(USER, users, (), items, _names("y", k), _far_sums, _names("z", k))
         joined = users.join(implicit, USER)
         return joined.select(*users.columns, *((F.col(f"p{j}") + F.col("root") * F.col(f"z{j}")).alias(f"w{j}")
                                                for j in range(k)))
 
-    def _epoch(self, rows, users, items, mean):
+    def _epoch(self, routes: Routes, users: DataFrame, items: DataFrame, mean: float) -> tuple[DataFrame, DataFrame]:
         k = self.factors
 
         def move(old: str, gradient: Column, n: Column) -> Column:
             return _moved(old, gradient, n, self.lr, self.reg, self.damping)
-        error = (F.col("r") - (F.lit(mean) + F.col("bu") + F.col("bi") + _dot("q", "w", k))).alias("e")
-        whole = cut_lineage(self._combined(rows, users, items))  # read twice below
-        scored = (rows.join(whole.select(USER, "bu", *_names("w", k)), USER)
-                  .join(items.select(ITEM, "bi", *_names("q", k)), ITEM).select(USER, error, *_names("q", k)))
-        pull = scored.groupBy(USER).agg(F.sum("e").alias("ge"),
-                                        *(F.sum(F.col("e") * F.col(f"q{j}")).alias(f"g{j}") for j in range(k)))
-        known = cut_lineage(whole.join(pull, USER))
+
+        def pull(value, at, to, begins, own, far):
+            """By user: its errors, and these times the items' factors."""
+            error = value - (mean + own[at, 0] + far[to, 0] + np.einsum("ij,ij->i", own[at, 1:], far[to, 1:]))
+            return np.add.reduceat(np.column_stack([error, error[:, None] * far[to, 1:]]), begins)
+
+        def push(value, at, to, begins, own, far):
+            """By item: its errors, these times its raters' vectors, and their pull on the implicit factors."""
+            bias, root, w, g = far[to, 0], far[to, 1], far[to, 2:2 + k], far[to, 2 + k:]
+            error = value - (mean + bias + own[at, 0] + np.einsum("ij,ij->i", own[at, 1:], w))
+            return np.add.reduceat(np.column_stack([error, error[:, None] * w, root[:, None] * g]), begins)
+
+        whole = cut_lineage(self._combined(routes, users, items))  # sent and joined below
+        own, far = ("bu", *_names("w", k)), ("bi", *_names("q", k))
+        known = cut_lineage(whole.join(routes.step(USER, whole, own, items, far, pull, ("ge", *_names("g", k))), USER))
         n = F.col("n")
-        new_users = known.select(USER, "n", "root", move("bu", F.col("ge"), n),
+        new_users = known.select(USER, "n", "own", "far", "root", move("bu", F.col("ge"), n),
                                  *(move(f"p{j}", F.col(f"g{j}"), n) for j in range(k)))
-        # One pass over the items' raters: their errors, their vectors and their pull on the implicit factors.
-        sides = known.select(USER, "bu", "root", *_names("w", k), *_names("g", k))
-        met = (rows.join(sides, USER).join(items.select(ITEM, "bi", *_names("q", k)), ITEM)
-               .select(ITEM, error, "root", *_names("w", k), *_names("g", k)))
-        push = met.groupBy(ITEM).agg(
-            F.sum("e").alias("he"),
-            *(F.sum(F.col("e") * F.col(f"w{j}")).alias(f"h{j}") for j in range(k)),
-            *(F.sum(F.col("root") * F.col(f"g{j}")).alias(f"i{j}") for j in range(k)))
-        m = F.col("m")
-        new_items = items.join(push, ITEM).select(
-            ITEM, "m", "c", move("bi", F.col("he"), m), *(move(f"q{j}", F.col(f"h{j}"), m) for j in range(k)),
+        pushed = routes.step(ITEM, items, far, known, ("bu", "root", *_names("w", k), *_names("g", k)), push,
+                             ("he", *_names("h", k), *_names("i", k)))
+        new_items = items.join(pushed, ITEM).select(
+            ITEM, "n", "own", "far", "c", move("bi", F.col("he"), n), *(move(f"q{j}", F.col(f"h{j}"), n) for j in range(k)),
             *(move(f"y{j}", F.col(f"i{j}"), F.col("c")) for j in range(k)))
         return new_users, cut_lineage(new_items)
 
@@ -186,24 +190,26 @@ class LogisticModel:
 
     def fit_epochs(self, interactions: DataFrame, samples: DataFrame | None = None) -> Iterator[FittedLogistic]:
         """The model after each epoch of one training run."""
-        rows = stored_copy(self.samples(interactions)) if samples is None else samples
-        users = _start(rows.select(USER).distinct().withColumn("bu", F.lit(0.0)), USER, "p", self.factors, self.seed)
-        items = _start(rows.select(ITEM).distinct().withColumn("bi", F.lit(0.0)), ITEM, "q", self.factors,
-                       self.seed + 1)
+        routes = Routes(self.samples(interactions) if samples is None else samples, "label")
+        users = _start(routes.ids[USER].withColumn("bu", F.lit(0.0)), USER, "p", self.factors, self.seed)
+        items = _start(routes.ids[ITEM].withColumn("bi", F.lit(0.0)), ITEM, "q", self.factors, self.seed + 1)
         for _ in range(self.epochs):
-            users = cut_lineage(self._half(rows, users, items, USER, "bu", "p", "q"))
-            items = cut_lineage(self._half(rows, users, items, ITEM, "bi", "q", "p"))
-            yield FittedLogistic(users, items, self.factors)
+            users = cut_lineage(self._half(routes, users, items, USER))
+            items = cut_lineage(self._half(routes, users, items, ITEM))
+            yield FittedLogistic(users.drop("n", "own", "far"), items.drop("n", "own", "far"), self.factors)
+        routes.close()
 
-    def _half(self, rows: DataFrame, users: DataFrame, items: DataFrame, key: str, bias: str, own: str,
-              other: str) -> DataFrame:
+    def _half(self, routes: Routes, users: DataFrame, items: DataFrame, side: str) -> DataFrame:
         k = self.factors
-        odds = F.col("bu") + F.col("bi") + _dot("p", "q", k)
-        gap = (F.col("label") - F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))).alias("e")
-        met = rows.join(users, USER).join(items, ITEM).select(key, gap, *_names(other, k))
-        pull = met.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("ge"),
-                                    *(F.sum(F.col("e") * F.col(f"{other}{j}")).alias(f"g{j}") for j in range(k)))
-        table = users if key == USER else items
-        return table.join(pull, key).select(
-            key, _moved(bias, F.col("ge"), F.col("n"), self.lr, 0.0),
-            *(_moved(f"{own}{j}", F.col(f"g{j}"), F.col("n"), self.lr, self.reg) for j in range(k)))
+        sides = {USER: (users, "bu", "p"), ITEM: (items, "bi", "q")}
+        (own, bias, mine), (far, other_bias, theirs) = sides[side], sides[ITEM if side == USER else USER]
+
+        def pull(value, at, to, begins, own, far):
+            odds = own[at, 0] + far[to, 0] + np.einsum("ij,ij->i", own[at, 1:], far[to, 1:])
+            error = value - 1.0 / (1.0 + np.exp(-odds))
+            return np.add.reduceat(np.column_stack([error, error[:, None] * far[to, 1:]]), begins)
+
+        pulled = routes.step(side, own, (bias, *_names(mine, k)), far, (other_bias, *_names(theirs, k)), pull, ("ge", *_names("g", k)))
+        return own.join(pulled, side).select(
+            side, "n", "own", "far", _moved(bias, F.col("ge"), F.col("n"), self.lr, 0.0),
+            *(_moved(f"{mine}{j}", F.col(f"g{j}"), F.col("n"), self.lr, self.reg) for j in range(k)))
