@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -59,23 +56,20 @@ def terms_of(text: Column, ngram_range: tuple[int, int] = (1, 1),
     return ngrams(without_stop_words(tokens(text), stop_words), *ngram_range)
 
 
-def _count_rows(keys: int):
-    """Task function: the terms of each row with their numbers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, COUNTED_ROWS):
-                part = batch.slice(start, COUNTED_ROWS)
-                counted = [Counter(words or ()) for words in part.column(keys).to_pylist()]
-                row = pa.array(np.repeat(np.arange(len(counted)), [len(c) for c in counted]))
-                terms = pa.array([t for c in counted for t in c], pa.string())
-                numbers = pa.array([n for c in counted for n in c.values()], pa.int64())
-                yield pa.RecordBatch.from_arrays([*(part.column(i).take(row) for i in range(keys)), terms, numbers],
-                                                 [*part.schema.names[:keys], "term", "tf"])
-    return run
+def _runs(docs: DataFrame, key: Sequence[str], terms: str) -> DataFrame:
+    """(key..., term, tf): the different values of the array column ``terms`` of each row, with their numbers.
 
-
-#: Documents whose terms one step of the counting holds.
-COUNTED_ROWS = 256
+    Equal terms lie together once the array is sorted; a term's number is the length of its run. No row is grouped, so
+    nothing is shuffled.
+    """
+    named = [f"_k{i}" for i in range(len(key))]  # whatever the keys are called
+    s, b = F.col("_s"), F.col("_b")
+    rows = docs.select(*(F.col(k).alias(n) for k, n in zip(key, named)), F.sort_array(terms).alias("_s")).filter(F.size("_s") > 0)
+    begins = F.filter(F.sequence(F.lit(0), F.size(s)), lambda i: (i == 0) | (i == F.size(s)) | (F.get(s, i) != F.get(s, i - 1)))
+    cut = rows.select(*named, "_s", begins.alias("_b"))
+    each = cut.select(*named, "_s", "_b", F.posexplode(F.slice(b, 1, F.size(b) - 1)).alias("_run", "_from"))
+    return each.select(*(F.col(n).alias(k) for k, n in zip(key, named)), F.get(s, F.col("_from")).alias("term"),
+                       (F.get(b, F.col("_run") + 1) - F.col("_from")).cast("long").alias("tf"))
 
 
 def term_counts(docs: DataFrame, key: Sequence[str], ngram_range: tuple[int, int] = (1, 1),
@@ -84,9 +78,44 @@ def term_counts(docs: DataFrame, key: Sequence[str], ngram_range: tuple[int, int
 
     A document is one row, so its terms are counted where it lies; neither texts nor single words move.
     """
-    words = docs.select(*key, terms_of(F.col("text"), ngram_range, stop_words).alias("_words"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema.fields[:-1])
-    return words.mapInArrow(_count_rows(len(key)), f"{kinds}, term string, tf long")
+    words = docs.select(*key, without_stop_words(tokens(F.col("text")), stop_words).alias("_words"))
+    return _runs(words.select(*key, ngrams(F.col("_words"), *ngram_range).alias("_terms")), key, "_terms")
+
+
+#: What stands for a term where only equality counts: two hashes, 128 bits.
+TERM_ID = "struct<a:bigint,b:bigint>"
+
+
+def term_id(term: Column) -> Column:
+    return F.struct(F.xxhash64(term).alias("a"), F.xxhash64(F.lit(1), term).alias("b"))
+
+
+def term_id_counts(docs: DataFrame, key: Sequence[str], ngram_range: tuple[int, int] = (1, 1),
+                   stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+    """``term_counts`` with ids for terms: an n-gram's follows from that of its first n - 1 words and its last word.
+
+    The texts of long n-grams are never written; ``term_ids`` has them where they are wanted.
+    """
+    low, high = ngram_range
+    words = docs.select(*key, without_stop_words(tokens(F.col("text")), stop_words).alias("_words"))
+    rolled = words.select(*key, F.transform("_words", term_id).alias("_n1"))
+    for n in range(2, high + 1):
+        left = F.greatest(F.size(f"_n{n - 1}") - 1, F.lit(0))
+        rolled = rolled.withColumn(f"_n{n}", F.zip_with(F.slice(f"_n{n - 1}", 1, left), F.slice("_n1", n, left), _joined))
+    return _runs(rolled.select(*key, F.concat(*(f"_n{n}" for n in range(low, high + 1))).alias("_terms")), key, "_terms")
+
+
+def _joined(head: Column, word: Column) -> Column:
+    return F.struct(F.xxhash64(head["a"], word["a"]).alias("a"), F.xxhash64(head["b"], word["b"]).alias("b"))
+
+
+def term_ids(docs: DataFrame, ngram_range: tuple[int, int] = (1, 1), stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+    """(id, term): the dictionary of the corpus, to be joined where terms are to be read."""
+    words = docs.select(without_stop_words(tokens(F.col("text")), stop_words).alias("_words"))
+    terms = words.select(F.explode(ngrams(F.col("_words"), *ngram_range)).alias("term")).distinct()
+    parts = terms.select("term", F.transform(F.split("term", " "), term_id).alias("_ids"))
+    first = F.element_at("_ids", 1)
+    return parts.select(F.aggregate(F.slice("_ids", 2, F.size("_ids")), first, _joined).alias("id"), "term")
 
 
 def tf_idf(counts: DataFrame, n_docs: Column, doc: str = "doc_id", sublinear_tf: bool = False) -> DataFrame:
