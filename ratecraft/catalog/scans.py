@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ratecraft import PAIR, schemas
+from ratecraft import ITEM, PAIR, RATING, USER, schemas
+from ratecraft.catalog.columns import wide
 from ratecraft.catalog.registry import query
 from ratecraft.operators.splits import COHORTS, cohorts
 from ratecraft.plans import discount
@@ -68,6 +69,54 @@ def csv(v):
     return readers.read_csv(v.spark, _csv_copy(v, v.ratings, "ratings"), schemas.rating_csv())
 
 
+@query("src_07_csv_business", uses="business", sql="SELECT * FROM business")
+def csv_business(v):
+    return readers.read_csv(v.spark, _csv_copy(v, v.business, "business"), schemas.business(LongType()))
+
+
+@query("src_07_csv_reviews", uses="reviews", sql="SELECT user_id, business_id, rating, text, date FROM reviews")
+def csv_reviews(v):
+    """Texts with line breaks and quotes in them."""
+    table = v.reviews.drop("doc_id")
+    return readers.read_csv(v.spark, _csv_copy(v, table.select(*PAIR, "rating", "text", "date"), "reviews"), schemas.review_csv())
+
+
+@query("src_07_csv_wide", uses="wide", sql="""
+    SELECT * REPLACE (round(stars, 6) AS stars, round(average_stars, 6) AS average_stars, nullif(elite, '') AS elite) FROM wide""")
+def csv_wide(v):
+    """In CSV an empty value is a null."""
+    table = wide(v)
+    back = readers.read_csv(v.spark, _csv_copy(v, table, "wide"), table.schema)
+    return back.withColumns({c: F.round(c, 6) for c in ("stars", "average_stars")})
+
+
+@query("src_07_csv_discounted", uses="discounted", sql="""
+    SELECT user_id, business_id, rating, round(date_dist_rating, 6) AS date_dist_rating FROM discounted""")
+def csv_discounted(v):
+    table = discount.export_columns(discount.discounted_detail(v.ratings, v.business))
+    back = readers.read_csv(v.spark, _csv_copy(v, table, "discounted"), schemas.discounted_csv())
+    return back.select(*PAIR, "rating", F.round("date_dist_rating", 6).alias("date_dist_rating"))
+
+
+@query("src_01_quarantine", uses="reviews", sql="""
+    SELECT kind, count(*) AS n, CAST(sum(CASE WHEN kind = 'kept' THEN rating END) AS DOUBLE) AS ratings FROM (
+      SELECT rating, CASE doc_id % 50 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'does not fit' ELSE 'kept' END AS kind FROM reviews) t
+    GROUP BY kind""")
+def quarantined_reviews(v):
+    """Of every 50 lines one is cut off and one has a word for its rating."""
+    fields = lambda stars: F.to_json(
+        F.struct(F.col(USER).cast("string").alias(USER), F.col(ITEM).cast("string").alias(ITEM), stars.alias("stars"), "text", "date"),
+        {"timestampNTZFormat": readers.TIMESTAMP})
+    whole = fields(F.col(RATING))
+    line = F.when(F.col("doc_id") % 50 == 0, F.substring(whole, 1, 12)).when(F.col("doc_id") % 50 == 1, fields(F.lit("many"))).otherwise(whole)
+    path = new_path(v.spark, "broken")
+    v.reviews.select(line.alias("value")).write.text(path)
+    read = readers.read_quarantined(v.spark, path, schemas.review())
+    kept = read.rows.agg(F.lit("kept").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum("stars").alias("ratings"))
+    return kept.unionByName(read.rejects.groupBy(F.col("reason").alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("ratings")))
+
+
 @query("src_08_cohort_files", uses="cohort_rows", sql="SELECT * FROM cohort_rows")
 def cohort_files(v):
     folder = new_path(v.spark, "special")

@@ -52,6 +52,10 @@ def rating_csv(key: DataType = LongType()) -> StructType:
     return _struct(("user_id", key), ("business_id", key), ("rating", DoubleType()), ("date", TimestampNTZType()))
 
 
+def review_csv(key: DataType = LongType()) -> StructType:
+    return _struct(("user_id", key), ("business_id", key), ("rating", DoubleType()), ("text", StringType()), ("date", TimestampNTZType()))
+
+
 def discounted_csv(key: DataType = LongType()) -> StructType:
     return _struct(("user_id", key), ("business_id", key), ("rating", DoubleType()), ("date_rating", DoubleType()),
                    ("dist_rating", DoubleType()), ("date_dist_rating", DoubleType()))

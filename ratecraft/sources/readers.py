@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, StringType, StructType
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
 from ratecraft import schemas
+from ratecraft.session import stored_copy
 
 TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 #: What is read: a day alone means its first second.
 DAY_OR_TIMESTAMP = "yyyy-MM-dd[ HH:mm:ss]"
-#: A line that does not fit the schema ends the read: no rows of nulls.
+#: A line that does not fit the schema ends the read: no rows of nulls. ``read_quarantined`` sets such lines apart instead.
 MODE = "FAILFAST"
+#: Columns of free text, also where a join has told two of them apart.
+TEXT = re.compile(r"(?:\w+_)?(?:text|caption)(?:_\w+)?")
 
 
 def _json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -43,10 +49,57 @@ def read_photos(spark: SparkSession, path: str, key: DataType = StringType()) ->
     return _json(spark, path, schemas.photo(key))
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str, line_breaks: bool | None = None) -> DataFrame:
+    """CSV with a header. ``line_breaks`` says whether quoted values may hold them; by default where a column has free text.
+
+    A file with line breaks inside values is read by one task, so its writer should keep files short (``write_csv`` does).
+    """
     reader = spark.read.schema(schema).option("header", True).option("timestampNTZFormat", DAY_OR_TIMESTAMP).option("mode", MODE)
+    return reader.options(**csv_options(schema, line_breaks)).csv(path)
+
+
+def csv_options(schema: StructType | str, line_breaks: bool | None = None) -> dict[str, object]:
+    if line_breaks is None:
+        names = schema.names if isinstance(schema, StructType) else [part.split()[0] for part in schema.split(",")]
+        line_breaks = any(TEXT.fullmatch(n) for n in names)
     # Written with quotes doubled, not backslashed, as pandas and most tools do.
-    return reader.option("multiLine", False).option("escape", '"').csv(path)
+    return {"multiLine": line_breaks, "escape": '"'}
+
+
+@dataclass
+class Quarantined:
+    """A read that goes on behind lines that do not fit the schema."""
+
+    rows: DataFrame  # the lines that fit, as declared
+    rejects: DataFrame  # path, reason, line
+    n_rows: int
+    n_rejects: int
+
+
+def read_quarantined(spark: SparkSession, path: str, schema: StructType, kind: str = "json", sink: str | None = None,
+                     line_breaks: bool | None = None) -> Quarantined:
+    """Read JSON lines or CSV; lines that do not fit go to a table of their own, and to ``sink`` (parquet) if one is named.
+
+    The source is parsed once: what was read is stored, and counted while it is written. A line that is no record at
+    all has the reason ``unreadable``; one with values of another type has ``does not fit``. No line is lost: both tables
+    together have as many rows as the source has records. ``kind`` is json or csv; a source without rows gives two empty tables.
+    """
+    bad, where = "_corrupt", "_path"
+    wide = StructType([*schema.fields, StructField(bad, StringType())])
+    reader = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).option("timestampNTZFormat", DAY_OR_TIMESTAMP)
+    if kind == "csv":
+        reader = reader.option("header", True).options(**csv_options(schema, line_breaks))
+    counts = Observation()
+    read = reader.format(kind).load(path).withColumn(where, F.col("_metadata.file_path"))
+    counted = read.observe(counts, F.count(F.lit(1)).alias("all"), F.count(bad).alias("bad"))
+    stored = stored_copy(counted, "read")
+    blank = reduce(Column.__and__, (F.col(f"`{c}`").isNull() for c in schema.names))
+    reason = F.when(blank, "unreadable").otherwise("does not fit")
+    rejects = stored.filter(F.col(bad).isNotNull()).select(F.col(where).alias("path"), reason.alias("reason"), F.col(bad).alias("line"))
+    if sink:
+        rejects.write.mode("overwrite").parquet(sink)
+    n, n_bad = counts.get["all"], counts.get["bad"]
+    return Quarantined(stored.filter(F.col(bad).isNull()).select(*(F.col(f"`{c}`") for c in schema.names)), rejects, n - n_bad, n_bad)
 
 
 def read_cohorts(spark: SparkSession, folder: str, names: Iterable[str], key: DataType = LongType()) -> DataFrame:

@@ -10,9 +10,13 @@ from ratecraft.session import exists, shared_folder
 from ratecraft.sources.readers import TIMESTAMP
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """Header line, no row index, one file per partition."""
-    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+#: Rows of a CSV file at most: one with line breaks in its values is read by a single task.
+FILE_ROWS = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
+    """Header line, no row index, files of ``file_rows`` rows at most; values with line breaks are quoted."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", file_rows)
        .option("timestampNTZFormat", TIMESTAMP).csv(path))
     return path
 

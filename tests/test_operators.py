@@ -179,3 +179,28 @@ def test_dates_without_time_and_broken_lines(spark):
 
 def test_local_rows_has_no_cap(spark):
     assert readers.local_rows(spark, [(i,) for i in range(10_001)], "x int").count() == 10_001
+
+
+def test_csv_keeps_line_breaks_and_quotes(spark, tmp_path):
+    rows = [(1, 2, 3.0, 'line one\nline "two", and\r\nthree', None), (4, 5, 1.0, "plain", None), (6, 7, 2.0, None, None), (8, 9, 2.0, "  spaced \\ ", None)]
+    schema = schemas.review_csv()
+    path = writers.write_csv(spark.createDataFrame(rows, schema), str(tmp_path / "t.csv"), file_rows=1)
+    found = readers.read_csv(spark, path, schema).collect()
+    # The parser reads any line break as \n.
+    assert {tuple(r) for r in found} == {(*r[:3], r[3] and r[3].replace("\r\n", "\n"), None) for r in rows}
+
+
+@pytest.mark.parametrize("kind", ["json", "csv"])
+def test_broken_lines_are_set_apart(spark, tmp_path, kind):
+    lines = {"json": ['{"user_id":"a","business_id":"b","stars":3.5,"date":"2020-01-01"}', '{"user_id":"a","busin', "", '{"user_id":"c","business_id":"d","stars":"many"}',
+                      '{"user_id":"e","business_id":"f","stars":1.0}'],
+             "csv": ["user_id,business_id,stars,date", "a,b,3.5,2020-01-01", "c,d,many,2020-01-01", "e,f,1.0,"]}[kind]
+    source, sink = str(tmp_path / "in"), str(tmp_path / "rejects")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(source)
+    read = readers.read_quarantined(spark, source, schemas.review(text=False), kind, sink)
+    assert sorted((r.user_id, r.stars) for r in read.rows.collect()) == [("a", 3.5), ("e", 1.0)] and read.n_rows == 2
+    want = {"json": [("does not fit", lines[3]), ("unreadable", lines[1])], "csv": [("does not fit", lines[2])]}[kind]
+    assert sorted((r.reason, r.line) for r in read.rejects.collect()) == want and read.n_rejects == len(want)
+    assert spark.read.parquet(sink).count() == len(want) and all("/in/" in r.path for r in read.rejects.collect())
+    with pytest.raises(Exception):
+        (readers.read_reviews(spark, source, text=False) if kind == "json" else readers.read_csv(spark, source, schemas.review(text=False))).collect()
