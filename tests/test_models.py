@@ -155,6 +155,17 @@ def test_network_takes_string_ids_and_ignores_partitions(spark, planted):
     assert one.weights == pytest.approx(two.weights, abs=1e-6)
 
 
+def test_network_weights_for_any_partitioning_and_a_hot_row(spark, planted):
+    """Lanes follow the data, copies of one row spread over them, and partitions change nothing."""
+    rows = planted[0].select("user_id", "business_id", "rating")
+    rows = rows.unionByName(spark.range(600).select(F.lit(3).cast(rows.schema["user_id"].dataType).alias("user_id"),
+                                                    F.lit(4).cast(rows.schema["business_id"].dataType).alias("business_id"), F.lit(2.0).alias("rating")))
+    model = neural.NeuralModel(epochs=2, batch_size=64, lane_rows=150)
+    fitted = [model.fit(rows.repartition(n)) for n in (4, 200)]
+    assert fitted[0].weights == pytest.approx(fitted[1].weights, abs=1e-9)
+    assert neural.NeuralModel(epochs=1, lane_rows=10 ** 6).fit(rows).weights != pytest.approx(fitted[0].weights, abs=1e-3)
+
+
 def test_content_sweep_names_every_point(reviews):
     rows = tuning.sweep_content(reviews, ((1, 1),), (True, False)).collect()
     assert [r.model for r in rows] == ["ngram_range = (1, 1), sublinear_tf = True",
