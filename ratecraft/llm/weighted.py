@@ -129,9 +129,9 @@ def edits_and_neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         return docs.sparkSession.createDataFrame([], _REPORT)
     ahead = placed.select(((F.col("_at") + 1) % n).alias("_at"), F.col("_m1").alias("_to1"), F.col("_m2").alias("_to2"),
                           F.floor(F.col("n_chars") / 2).cast("int").alias("_wanted"))
-    chain = stored_copy(placed.join(ahead, "_at"), "chain").drop("doc_id")
+    chain = stored_copy(placed.join(ahead, "_at"), "chain")
     # Texts are dealt by their key once; what a text needs of the next one is sent to it, half of its own length at most.
-    texts = rows.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).join(chain, key)
+    texts = rows.groupBy(*key).agg(F.first("text").alias("text")).join(chain, key)
     heads = texts.select(F.col("_to1").alias("_m1"), F.col("_to2").alias("_m2"), F.expr("substring(text, 1, _wanted)").alias("_head"))
     half = F.floor(F.col("n_chars") / 2)
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.col("_head"))
