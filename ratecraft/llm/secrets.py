@@ -1,18 +1,21 @@
 """Secret scan with DataFrame expressions only.
 
-Three base patterns give spans of the kinds assign, access and hex. Besides, every run of token characters of
-``LEAST`` or more, with digits and letters, is judged by two first-order Markov models over characters,
-one of random strings and one of ordinary identifiers: where the log-likelihood ratio of the two is high
-enough the run becomes a span of the kind random. Both models are learnt from labelled samples of the
-documents: what the base patterns find, and the words around.
+Three base patterns give spans of the kinds assign, access and hex. What lies outside of them is cut into runs of ASCII
+letters, digits and ``+``. Every run of ``LEAST`` characters or more, pure numbers aside, is judged by two first-order Markov models over
+characters, one of random strings and one of ordinary identifiers: where the log-likelihood ratio of the two
+reaches ``FIXED`` and ``PER_CHARACTER`` for each character, the run becomes a span of the kind random. A key glued to a path or a name by
+``/ = _ -`` is a run of its own. Both models are learnt from labelled samples of the documents: what the base
+patterns find, and the shorter runs around.
 
 Positions come from splitting: the lengths of the texts between matches and of the matches add up to
-the places of the matches, in code points.
+the places of the matches, in code points. All steps are in proportion to the text; running totals over n
+matches cost n * sqrt(n).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,86 +30,133 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN_LEAST = 8
 
 #: Runs that the Markov models judge; the shortest length.
-LEAST = 20
-RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
-ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: A run is random if its log-likelihood ratio is at least so much per character.
-PER_CHARACTER = 0.5
+LEAST = 16
+RUN = rf"[A-Za-z0-9+]{{{LEAST},}}"
+ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+"
+#: A run is random if its log-likelihood ratio is at least so much, and so much for each of its characters.
+FIXED, PER_CHARACTER = 8.0, 1.0
 #: Pseudo-counts with which ordinary text falls back on single characters.
 BACKOFF = 20.0
 #: Bounds of the labelled samples: documents for ordinary words, and documents with base spans.
 WORD_DOCS, SECRET_DOCS = 4_000, 20_000
 MARK = "[secret]"
+#: Characters of a chunk: a piece of a text is cut from the chunks it touches, not counted from the text's start.
+CHUNK = 8192
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, zero: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each place the total of the values before it: of whole blocks first, then within its block of sqrt(n)."""
+    total = lambda part: F.aggregate(part, zero, join)
+
+    def of(v: Column) -> Column:
+        n = F.size(v)
+        step = F.ceil(F.sqrt(n.cast("double"))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(n / step).cast("int") - 1), lambda b: total(F.slice(v, b * step + 1, step)))
+        heads = _let(blocks, lambda t: F.transform(F.sequence(F.lit(0), F.size(t) - 1), lambda b: total(F.slice(t, F.lit(1), b))))
+        each = _let(heads, lambda h: F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.aggregate(
+            F.slice(v, i - i % step + 1, i % step), F.get(h, F.floor(i / step).cast("int")), join)))
+        return F.when(n > 0, each).otherwise(F.slice(v, 1, 0))
+    return _let(values, of)
+
+
 def matches(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
-    """Spans of a pattern: start, kind, end; where ``group`` is shorter than ``least`` the span is dropped."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
+    """Spans of a pattern: start, kind, end, token; where ``group`` is shorter than ``least`` the span is dropped."""
+    size = lambda x: F.char_length(x)
+    gaps = F.transform(F.split(text, pattern, -1), size)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), F.transform(whole, lambda x: F.char_length(x)).alias("width"),
-                         F.transform(part, lambda x: F.char_length(x)).alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
+    part = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), size) if group else F.transform(whole, size)
+    zipped = F.arrays_zip(whole.alias("token"), part.alias("part"), gaps.alias("gap"))  # the last gap has no match
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        end = begin + x["width"]
-        one = F.array(F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["part"] >= least, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
+    def spans(z: Column) -> Column:
+        widths = F.transform(z, lambda x: x["gap"] + F.coalesce(F.char_length(x["token"]), F.lit(0)))
+        placed = F.zip_with(z, running(widths, F.lit(0), lambda a, b: a + b), lambda x, before: F.struct(
+            (before + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (before + x["gap"] + F.char_length(x["token"])).alias("end"),
+            x["token"].alias("token"), x["part"].alias("part")))
+        return F.filter(placed, lambda x: x["token"].isNotNull() & (x["part"] >= least))
 
-    spans = F.aggregate(pairs, start, step, lambda acc: acc["found"])
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(_SPAN))
+    found = F.transform(_let(zipped, spans), lambda x: F.struct(x["start"], x["kind"], x["end"], x["token"]))
+    return F.when(F.rlike(text, F.lit(pattern)), found)
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with text never null and ``_base``, the base spans by start, then kind."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = (docs.withColumn("text", text)
-             .withColumn("_assign", matches(F.col("text"), ASSIGN, 0, 2, ASSIGN_LEAST))
-             .withColumn("_access", F.when(F.contains("text", F.lit("AKIA")), matches(F.col("text"), ACCESS, 1)).otherwise(F.array().cast(_SPAN)))
-             .withColumn("_hex", matches(F.col("text"), HEX, 2)))
-    return found.withColumn("_base", F.array_sort(F.concat("_assign", "_access", "_hex"))).drop("_assign", "_access", "_hex")
+def _places(found: Column) -> Column:
+    none = F.array().cast(_SPAN)
+    return F.coalesce(F.transform(found, lambda x: F.struct(x["start"], x["kind"], x["end"])), none)
+
+
+def _outside(text: str, spans: str, mark: Callable[[Column], Column]) -> Column:
+    """The text with the union of its spans replaced: ``mark`` gets a stretch's length. Touching spans are two stretches."""
+    def cut(chunks: Column, at: Column, n: Column) -> Column:
+        first, last = F.floor(at / CHUNK).cast("int"), F.floor((at + n) / CHUNK).cast("int")
+        return F.substring(F.array_join(F.slice(chunks, first + 1, last - first + 1), ""), at - first * CHUNK + 1, n)
+
+    ends = F.transform(spans, lambda s: s["end"])
+    reach = running(ends, F.lit(0), lambda a, b: F.greatest(a, b))
+    # A stretch begins where a span starts at or behind all that came before.
+    opened = F.filter(F.zip_with(spans, reach, lambda s, m: F.struct(s["start"].alias("start"), m.alias("before"))), lambda x: x["start"] >= x["before"])
 
+    def joined(chunks: Column) -> Column:
+        def of(o: Column) -> Column:
+            end = lambda i: F.coalesce(F.get(o, i + 1)["before"], F.array_max(ends))
+            parts = F.transform(o, lambda x, i: F.concat(cut(chunks, x["before"], x["start"] - x["before"]), mark(end(i) - x["start"])))
+            rest = cut(chunks, F.array_max(ends), F.char_length(text) - F.array_max(ends))
+            return F.concat(F.array_join(parts, ""), rest)
+        return _let(opened, of)
 
-def _pairs(token: Column) -> Column:
-    """The token's characters with their predecessors, a space in front of the first."""
-    wide = F.concat(F.lit(" "), token)
-    return F.transform(F.sequence(F.lit(1), F.char_length(token)), lambda i: F.substring(wide, i, F.lit(2)))
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, _let(chunks, joined)).otherwise(F.col(text))
 
 
-def _transitions(tokens: DataFrame) -> dict[str, int]:
-    """Counts of character pairs: (alphabet + 1)^2 rows at most."""
-    pairs = tokens.select(F.explode(_pairs(F.col("token"))).alias("pair"))
-    return {r.pair: r.n for r in pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()}
+def base_spans(docs: DataFrame) -> DataFrame:
+    """(row, text, base): each row as one value, its text, never null, and the base spans by start, then kind."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    access = F.when(F.contains("text", F.lit("AKIA")), matches(F.col("text"), ACCESS, 1))
+    found = rows.select("row", "text", matches(F.col("text"), ASSIGN, 0, 2, ASSIGN_LEAST).alias("a"), access.alias("b"),
+                        matches(F.col("text"), HEX, 2).alias("c"))
+    return found.select("row", "text", F.array_sort(F.concat(*(_places(F.col(c)) for c in "abc"))).alias("base"))
+
+
+def _characters(token: Column) -> Column:
+    """The token's characters with their predecessors (a space in front of the first), as structs of before and own."""
+    def pairs(c: Column) -> Column:
+        return F.zip_with(F.concat(F.array(F.lit(" ")), F.slice(c, 1, F.size(c) - 1)), c, lambda a, b: F.struct(a.alias("before"), b.alias("own")))
+    return _let(F.regexp_extract_all(token, F.lit("."), F.lit(0)), pairs)
 
 
 def fit(docs: DataFrame, word_docs: int = WORD_DOCS, secret_docs: int = SECRET_DOCS) -> list[float]:
     """Log-likelihood ratios, random over ordinary, of each character after each other one (or none).
 
-    Random strings: access and hex spans and the values of assignments, from about ``secret_docs`` of the
-    documents that have any. Ordinary identifiers: the words of about ``word_docs`` documents, but for runs
-    long enough to be judged that have a digit. An empty
-    table gives ratios of two uniform models, all 0.
+    Random strings: runs in access and hex spans and in the values of assignments, from about ``secret_docs`` of the
+    documents that have any. Ordinary identifiers: runs of the other text of about ``word_docs`` documents, but for those long
+    enough to be judged. Null texts teach nothing; repeated rows count as often as they come. An empty table
+    gives ratios of two models that know nothing. One pass counts the documents, one reads the samples.
     """
     docs = docs.select("doc_id", "text").filter("text is not null")
-    n = max(1, docs.count())
-    token = rf"[{ALPHABET}]{{4,}}"
-    words = (docs.filter(hash_share(["doc_id", "text"], word_docs / n))
-             .select(F.explode(F.split(F.regexp_replace("text", ASSIGN, " "), r"\s+")).alias("word"))
-             .filter(~F.rlike("word", F.lit(f"{ACCESS}|{HEX}")))
-             .select(F.regexp_extract("word", token, 0).alias("token")).filter("token <> ''")
-             # What is to be judged is no label for itself.
-             .filter(~((F.char_length("token") >= LEAST) & F.rlike("token", F.lit("[0-9]")))))
-    with_secret = docs.filter(F.rlike("text", F.lit(f"(?:{ACCESS}|{HEX})")) | F.rlike("text", F.lit(ASSIGN)))
-    m = max(1, with_secret.count())
-    values = F.concat(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
-                      F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
-    secret = (with_secret.filter(hash_share(["doc_id", "text"], secret_docs / m)).select(F.explode(values).alias("token"))
-              .filter((F.char_length("token") >= ASSIGN_LEAST) & F.rlike("token", F.lit("[0-9]"))))
-    random, ordinary = _model(_transitions(secret), None), _model(_transitions(words), BACKOFF)
-    return [round(math.log(x) - math.log(y), 5) for x, y in zip(random, ordinary)]
+    has = F.rlike("text", F.lit(f"(?:{ACCESS}|{HEX})")) | F.rlike("text", F.lit(ASSIGN))
+    n, m = docs.agg(F.count(F.lit(1)), F.count_if(has)).first()
+    teaches = hash_share(["doc_id", "text"], word_docs / max(1, n))
+    shows = hash_share(["doc_id", "text"], secret_docs / max(1, m)) & has
+    every = lambda pattern, group=0: F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
+    values = F.filter(F.concat(every(ASSIGN, 2), every(ACCESS), every(HEX)), lambda v: (F.char_length(v) >= ASSIGN_LEAST) & F.rlike(v, F.lit("[0-9]")))
+    runs = F.flatten(F.transform(values, lambda v: F.regexp_extract_all(v, F.lit("[A-Za-z0-9+]+"), F.lit(0))))
+    rest = F.regexp_extract_all(F.regexp_replace("text", f"{ACCESS}|{HEX}|{ASSIGN}", " "), F.lit("[A-Za-z0-9+]{4,}"), F.lit(0))
+    ordinary = F.filter(rest, lambda w: F.char_length(w) < LEAST)
+    kinds = lambda tokens, random: F.transform(tokens, lambda t: F.struct(F.lit(random).alias("random"), t.alias("token")))
+    none = F.array().cast("array<struct<random:boolean,token:string>>")
+    tokens = docs.filter(teaches | shows).select(F.explode(F.concat(
+        F.when(shows, kinds(runs, True)).otherwise(none), F.when(teaches, kinds(ordinary, False)).otherwise(none))).alias("t"))
+    # Equal words first: few are different. What comes to the driver are counts of character pairs, (alphabet + 1)^2 twice at most.
+    words = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    pairs = words.select("t.random", "n", F.explode(_characters(F.col("t.token"))).alias("p"))
+    counted = pairs.groupBy("random", F.concat("p.before", "p.own").alias("pair")).agg(F.sum("n").alias("n")).collect()
+    random, plain = (_model({r.pair: r.n for r in counted if r.random == kind}, backoff) for kind, backoff in ((True, None), (False, BACKOFF)))
+    return [round(math.log(x) - math.log(y), 5) for x, y in zip(random, plain)]
 
 
 def _model(counts: dict[str, int], backoff: float | None) -> list[float]:
@@ -130,31 +180,18 @@ def log_ratio(token: Column, ratios: list[float]) -> Column:
     """Sum of the ratios over the token's characters; the table is one constant array."""
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
     place = lambda c: F.instr(F.lit(ALPHABET), c)  # noqa: E731  1-based; 0 for the space in front
-
-    def value(pair: Column) -> Column:
-        before, own = place(F.substring(pair, 1, 1)), place(F.substring(pair, 2, 1))
-        return F.element_at(table, before * len(ALPHABET) + own)
-
-    return F.aggregate(F.transform(_pairs(token), value), F.lit(0.0), lambda acc, x: acc + x)
+    value = lambda p: F.element_at(table, place(p["before"]) * len(ALPHABET) + place(p["own"]))
+    return F.aggregate(_characters(token), F.lit(0.0), lambda total, p: total + value(p))
 
 
 def scan(docs: DataFrame, ratios: list[float]) -> DataFrame:
-    """``docs`` with text never null, ``_base`` and ``_spans``: all spans by start, then kind.
-
-    A random span never overlaps a base span. No other column of ``docs`` is read or lost.
-    """
-    with_base = base_spans(docs)
-    runs = matches(F.col("text"), RUN, 3)
-    with_runs = with_base.withColumn("_runs", runs)
-
-    def random(span: Column) -> Column:
-        token = F.substring(F.col("text"), span["start"] + 1, span["end"] - span["start"])
-        apart = ~F.exists("_base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        mixed = F.rlike(token, F.lit("[0-9]")) & F.rlike(token, F.lit("[A-Za-z]"))
-        return apart & mixed & (log_ratio(token, ratios) >= PER_CHARACTER * F.char_length(token))
-
-    found = F.when(F.size("_runs") > 0, F.array_sort(F.concat("_base", F.filter("_runs", random)))).otherwise(F.col("_base"))
-    return with_runs.withColumn("_spans", found).drop("_runs")
+    """(row, text, base, spans): as ``base_spans``, and all spans by start, then kind. A random span overlaps no base span."""
+    # Base spans are blanked, so that what is left around them is judged on its own.
+    open_text = base_spans(docs).select("row", "text", "base", _outside("text", "base", lambda n: F.repeat(F.lit(" "), n)).alias("open"))
+    with_runs = open_text.select("row", "text", "base", matches(F.col("open"), RUN, 3).alias("runs"))
+    random = lambda x: F.rlike(x["token"], F.lit("[A-Za-z]")) & (log_ratio(x["token"], ratios) >= FIXED + PER_CHARACTER * F.char_length(x["token"]))
+    more = F.when(F.col("runs").isNotNull(), F.array_sort(F.concat("base", _places(F.filter("runs", random)))))
+    return with_runs.select("row", "text", "base", F.coalesce(more, F.col("base")).alias("spans"))
 
 
 def listed(spans: str) -> Column:
@@ -171,30 +208,19 @@ def report(docs: DataFrame, ratios: list[float]) -> DataFrame:
     base_sha256 is that of an empty string. Rows repeated stay repeated; an empty table gives no row.
     """
     found = scan(docs.select("doc_id", "text"), ratios)
-    number = lambda k: F.size(F.filter("_spans", lambda s: s["kind"] == k)).cast("long")
-    return found.select("doc_id", *[number(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
-                        F.sha2(listed("_base"), 256).alias("base_sha256"), listed("_spans").alias("spans"))
+    number = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select("row.doc_id", *[number(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
+                        F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
 def redact(docs: DataFrame, ratios: list[float], mark: str = MARK) -> DataFrame:
     """``docs`` (any columns, among them text and n_chars) with every span's text replaced by ``mark``.
 
     Overlapping spans are replaced together. Texts without a span stay as they are (null too); where a text
-    changes, n_chars follows it.
+    changes, n_chars follows it. Rows travel as one value, so no name of theirs can clash. All rows stay, repeated ones too;
+    an empty table gives no row.
     """
-    inside = docs.withColumn("_whole", F.col("text"))
-    found = scan(inside, ratios)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-
-    def step(acc: Column, s: Column) -> Column:
-        end = F.greatest(acc["at"], s["end"])
-        between = F.substring(F.col("_whole"), acc["at"] + 1, s["start"] - acc["at"])
-        text = F.when((s["start"] < acc["at"]), acc["text"]).otherwise(F.concat(acc["text"], between, F.lit(mark)))
-        return F.struct(end.alias("at"), text.alias("text"))
-
-    rest = lambda acc: F.concat(acc["text"], F.substring(F.col("_whole"), acc["at"] + 1, F.char_length("_whole")))
-    changed = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, rest)).otherwise(F.col("_whole"))
-    done = found.withColumn("text", changed)
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.size("_spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return done.select(*(F.col(f"`{c}`") for c in docs.columns))
+    changed = scan(docs, ratios).select("row", (F.size("spans") > 0).alias("hit"), _outside("text", "spans", lambda n: F.lit(mark)).alias("clean"))
+    new = {"text": F.when(F.col("hit"), F.col("clean")).otherwise(F.col("row.text")),
+           "n_chars": F.when(F.col("hit"), F.char_length("clean").cast("long")).otherwise(F.col("row").getField("n_chars") if "n_chars" in docs.columns else F.lit(None))}
+    return changed.select(*((new[c] if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -39,12 +41,51 @@ BASE = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x
         ("access", re.compile("AKIA[A-Z0-9]+"), 0, 16), ("hex", re.compile("[0-9a-f]+"), 0, 32)]
 
 
+ACCESS_RUN, HEX_RUN = re.compile("AKIA[A-Z0-9]{12,}"), re.compile("[0-9a-f]{32,}")
+
+
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     """(start, kind's number, end, kind), in order."""
     return sorted((m.start(), n, m.end(), kind) for n, (kind, pattern, group, least) in enumerate(BASE)
                   for m in pattern.finditer(text) if len(m[group]) >= least)
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+"
+
+
+def markov_ratios(texts: list[str]) -> list[float]:
+    """The secret scan's table, from all texts: (space and letters) by letters."""
+    counts = {True: Counter(), False: Counter()}
+    base = re.compile("|".join(p.pattern for p in (ACCESS_RUN, HEX_RUN)))
+    for text in texts:
+        values = [m[2] for m in BASE[0][1].finditer(text)] + ACCESS_RUN.findall(text) + HEX_RUN.findall(text)
+        shown = [w for v in values if len(v) >= 8 and re.search("[0-9]", v) for w in re.findall("[A-Za-z0-9+]+", v)]
+        rest = re.sub(f"{base.pattern}|(?i:{BASE[0][1].pattern})", " ", text, flags=re.A)
+        for random, words_ in ((True, shown), (False, [w for w in re.findall("[A-Za-z0-9+]{4,}", rest) if len(w) < 16])):
+            counts[random].update(a + b for w in words_ for a, b in zip(" " + w, w))
+
+    def model(c, random):
+        single = {x: 1 + sum(c[b + x] for b in " " + LETTERS) for x in LETTERS}
+        for b in " " + LETTERS:
+            n = sum(c[b + x] for x in LETTERS)
+            for x in LETTERS:
+                yield (0.5 * (c[b + x] + 1) / (n + 63) + 0.5 / 63 if random else (c[b + x] + 20.0 * single[x] / sum(single.values())) / (n + 20.0))
+    return [math.log(r) - math.log(o) for r, o in zip(model(counts[True], True), model(counts[False], False))]
+
+
+def random_spans(text: str, ratios: list[float]) -> list[tuple[int, int, int, str]]:
+    """Runs outside the base spans whose ratio is high enough, as ``base_spans`` gives its own."""
+    shown = list(text)
+    for start, _, end, _ in base_spans(text):
+        shown[start:end] = " " * (end - start)
+    out = []
+    for m in re.finditer("[A-Za-z0-9+]{16,}", "".join(shown)):
+        total = sum(ratios[(0 if a == " " else LETTERS.index(a) + 1) * 63 + LETTERS.index(b)] for a, b in zip(" " + m[0], m[0]))
+        if re.search("[A-Za-z]", m[0]) and total >= 8 + len(m[0]):
+            out.append((m.start(), 3, m.end(), "random"))
+    return out
+
+
 def edit_distance(pattern: str, text: str) -> int:
     """Least distance of the pattern to any part of the text."""
     row = [0] * (len(text) + 1)
