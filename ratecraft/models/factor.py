@@ -3,7 +3,7 @@
 Each factor is a column of its own. The samples are laid out once (``routes``); a step sends factor rows to their
 blocks, sums gradients per key there and moves every key by ``lr * sum / (1 + damping * lr * n)``: small groups
 follow the summed gradient, large ones a fraction of its mean, which keeps hot keys
-stable. No factor table is collected; tables are checkpointed in every step.
+stable. No factor table is collected; tables are written down in every step.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from ratecraft import ITEM, PAIR, PREDICTION, USER
 from ratecraft.functions.scalar import clip
 from ratecraft.models.routes import Routes
 from ratecraft.operators.ranking import encode_ids
-from ratecraft.session import cut_lineage
+from ratecraft.session import forget, stored_copy
 
 _STEPS = 1 << 48
 
@@ -94,10 +94,13 @@ class SvdppModel:
         lengths = routes.step(ITEM, routes.ids[ITEM], (), users, ("n",), _far_sums, ("c",))
         items = routes.ids[ITEM].join(lengths, ITEM).withColumn("bi", F.lit(0.0))
         items = _start(_start(items, ITEM, "q", k, self.seed + 1), ITEM, "y", k, self.seed + 2)
-        users, items = cut_lineage(users), cut_lineage(items)
+        users, items = stored_copy(users, "users"), stored_copy(items, "items")
         for _ in range(self.epochs):
+            last = users, items
             users, items = self._epoch(routes, users, items, mean)
-        whole = cut_lineage(self._combined(routes, users, items).select(USER, "bu", *_names("w", k)))
+            for table in last:
+                forget(table)
+        whole = stored_copy(self._combined(routes, users, items).select(USER, "bu", *_names("w", k)), "users")
         routes.close()
         return FittedSvdpp(mean, whole, items.select(ITEM, "bi", *_names("q", k)), k, low, high)
 
@@ -126,9 +129,10 @@ class SvdppModel:
             error = value - (mean + bias + own[at, 0] + np.einsum("ij,ij->i", own[at, 1:], w))
             return np.add.reduceat(np.column_stack([error, error[:, None] * w, root[:, None] * g]), begins)
 
-        whole = cut_lineage(self._combined(routes, users, items))  # sent and joined below
+        whole = stored_copy(self._combined(routes, users, items), "whole")  # sent and joined below
         own, far = ("bu", *_names("w", k)), ("bi", *_names("q", k))
-        known = cut_lineage(whole.join(routes.step(USER, whole, own, items, far, pull, ("ge", *_names("g", k))), USER))
+        known = stored_copy(whole.join(routes.step(USER, whole, own, items, far, pull, ("ge", *_names("g", k))), USER), "known")
+        forget(whole)
         n = F.col("n")
         new_users = known.select(USER, "n", "own", "far", "root", move("bu", F.col("ge"), n),
                                  *(move(f"p{j}", F.col(f"g{j}"), n) for j in range(k)))
@@ -137,7 +141,9 @@ class SvdppModel:
         new_items = items.join(pushed, ITEM).select(
             ITEM, "n", "own", "far", "c", move("bi", F.col("he"), n), *(move(f"q{j}", F.col(f"h{j}"), n) for j in range(k)),
             *(move(f"y{j}", F.col(f"i{j}"), F.col("c")) for j in range(k)))
-        return new_users, cut_lineage(new_items)
+        new_users, new_items = stored_copy(new_users, "users"), stored_copy(new_items, "items")
+        forget(known)
+        return new_users, new_items
 
 
 @dataclass
@@ -194,8 +200,8 @@ class LogisticModel:
         users = _start(routes.ids[USER].withColumn("bu", F.lit(0.0)), USER, "p", self.factors, self.seed)
         items = _start(routes.ids[ITEM].withColumn("bi", F.lit(0.0)), ITEM, "q", self.factors, self.seed + 1)
         for _ in range(self.epochs):
-            users = cut_lineage(self._half(routes, users, items, USER))
-            items = cut_lineage(self._half(routes, users, items, ITEM))
+            users = stored_copy(self._half(routes, users, items, USER), "users")
+            items = stored_copy(self._half(routes, users, items, ITEM), "items")
             yield FittedLogistic(users.drop("n", "own", "far"), items.drop("n", "own", "far"), self.factors)
         routes.close()
 

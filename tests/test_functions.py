@@ -78,3 +78,12 @@ def test_tf_idf_by_hand(spark, sublinear):
 def test_top_terms(spark):
     frame = spark.createDataFrame([("b a1 b",), ("c a1 b the",)], "text string")
     assert [tuple(r) for r in text.top_terms(frame, 2).collect()] == [("b", 3, 1.0), ("a1", 2, 2 / 3)]
+
+
+def test_term_ids_name_the_same_terms(spark):
+    """Ids rolled from word to word count as the texts do, and the dictionary reads them back."""
+    docs = spark.createDataFrame([(1, "red fox and red fox ran"), (2, "fox"), (3, ""), (4, "red red red red")], "doc_id long, text string")
+    by_text = {(r.doc_id, r.term): r.tf for r in text.term_counts(docs, ["doc_id"], (1, 3), ()).collect()}
+    ids = text.term_id_counts(docs, ["doc_id"], (1, 3), ())
+    named = ids.join(text.term_ids(docs, (1, 3), ()).withColumnRenamed("term", "word"), ids.term == F.col("id"))
+    assert {(r.doc_id, r.word): r.tf for r in named.collect()} == by_text and by_text[1, "red fox"] == 2 and by_text[4, "red red red"] == 2
