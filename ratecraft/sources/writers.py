@@ -17,6 +17,7 @@ FILE_ROWS = 1_000_000
 def write_csv(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
     """Header line, no row index, files of ``file_rows`` rows at most; values with line breaks are quoted."""
     (df.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", file_rows)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)  # values as they are
        .option("timestampNTZFormat", TIMESTAMP).csv(path))
     return path
 
