@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm import decontaminate, langid, packing, secrets, shingles, simhash
+from ratecraft.llm import decontaminate, langid, packing, secrets, simhash
 from ratecraft.llm.common import DOCUMENT, table
 from ratecraft.llm.queries import tokenizer_path
 from ratecraft.session import configure, stored_copy
@@ -26,9 +26,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 0.8 or more of their five-word shingles, the one with the smallest id stays."""
-    docs = _documents(docs)
-    return simhash.keep_least(docs, shingles.near_copies(docs), shingles.set_key)
+    """Of documents linked by fingerprints (three-word shingles, three bits at most) the one with the smallest id stays.
+
+    Null texts count as empty, and empty texts are copies of each other; of rows that share an id one stays, and a null id
+    stays only where its group has no other. No document gives no row.
+    """
+    return simhash.keep_one(_documents(docs))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
