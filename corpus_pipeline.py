@@ -20,7 +20,10 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are far from every learnt language go, and those without a letter."""
+    """Documents that are far from every learnt language go, and those without a letter: null and empty texts too.
+
+    Repeated rows stay or go together; no document gives no row.
+    """
     docs = _documents(docs)
     return langid.keep_known(docs, langid.fit(langid.training_rows(docs)))
 
@@ -35,18 +38,18 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a test item go."""
+    """Documents that hold a passage of a test item go; null and empty texts hold none and stay, as do all rows without items."""
     return decontaminate.keep_clean(_documents(docs), table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; secrets in their texts are replaced by a mark."""
+    """All documents stay, null texts and repeated rows too; secrets in their texts are replaced by a mark."""
     docs = _documents(docs)
     return secrets.redact(docs, secrets.fit(docs))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences."""
+    """The pieces of all documents in sequences; null and empty texts are one closing token each."""
     return packing.pack(docs, tokenizer_path())
 
 
