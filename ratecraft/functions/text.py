@@ -96,13 +96,23 @@ def term_id_counts(docs: DataFrame, key: Sequence[str], ngram_range: tuple[int,
 
     The texts of long n-grams are never written; ``term_ids`` has them where they are wanted.
     """
-    low, high = ngram_range
     words = docs.select(*key, without_stop_words(tokens(F.col("text")), stop_words).alias("_words"))
-    rolled = words.select(*key, F.transform("_words", term_id).alias("_n1"))
-    for n in range(2, high + 1):
-        left = F.greatest(F.size(f"_n{n - 1}") - 1, F.lit(0))
-        rolled = rolled.withColumn(f"_n{n}", F.zip_with(F.slice(f"_n{n - 1}", 1, left), F.slice("_n1", n, left), _joined))
-    return _runs(rolled.select(*key, F.concat(*(f"_n{n}" for n in range(low, high + 1))).alias("_terms")), key, "_terms")
+    ids = words.select(*key, F.transform("_words", term_id).alias("_ids"))
+    return _runs(ids.select(*key, _rolled(F.col("_ids"), *ngram_range).alias("_terms")), key, "_terms")
+
+
+def _rolled(words: Column, low: int, high: int) -> Column:
+    """Ids of all runs of ``low`` to ``high`` words from the words' ids.
+
+    Each length is bound to a lambda variable: written into the next ones it would be computed anew in each of them.
+    """
+    def longer(last: Column, n: int, found: list[Column]) -> Column:
+        if n > high:
+            return F.concat(*found)
+        left = F.greatest(F.size(last) - 1, F.lit(0))
+        runs = F.zip_with(F.slice(last, F.lit(1), left), F.slice(words, F.lit(n), left), _joined)
+        return F.element_at(F.transform(F.array(runs), lambda x: longer(x, n + 1, [*found, x] if n >= low else found)), 1)
+    return longer(words, 2, [words] if low == 1 else [])
 
 
 def _joined(head: Column, word: Column) -> Column:
