@@ -32,14 +32,14 @@ def test_sql_twin(spark, name):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in entry.queries()
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
 
 
 def test_every_query_returns_its_documents(spark):
     ids = sorted(r.doc_id for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect())
     for name in QUERIES:
-        if name.split("_")[0] in ("op2", "op3", "op5", "op8", "op10"):
+        if name.split("_")[0] in ("op2", "op3", "op5", "op8", "op10", "op11"):
             assert sorted(r.doc_id for r in QUERIES[name](spark, FOLDER).collect()) == ids, name
     packed = QUERIES["op1_harmonic_packing"](spark, FOLDER)
     assert sorted({r.doc_id for r in packed.collect()}) == ids
