@@ -1,12 +1,15 @@
 """Benchmark decontamination by the pigeonhole principle.
 
 Texts are folded: lower case, and everything but letters and digits is one space. A test item is split into
-passages of about ``PASSAGE`` characters that overlap by half; a passage of n characters may differ by
+passages of ``PASSAGE`` characters, one every ``STRIDE`` at least, so that every verbatim fragment of
+``PASSAGE + STRIDE`` characters holds a whole one; a passage of n characters may differ by
 ``n // PER_ERROR`` edits. Cut into that number plus one pieces, one piece at least is unharmed wherever
 the passage occurs within its budget. One pass over a document (Aho-Corasick) finds all pieces, and
 the text around each is compared with the passage by Myers' bit-parallel edit distance: first 64 characters
 of the passage around the piece, for many hits at once in 64-bit arrays (a part of a passage is never
 farther from the text than the whole), then the whole passage where that part was near enough.
+The arrays hold ``SLOTS`` letters per part whatever the script; letters that share a slot count as equal
+there, which can only let a hit through to the exact comparison.
 
 Test items are taken in blocks of ``BLOCK`` passages; a block's pieces have a bounded size, so each block
 is sent to all tasks, which read the documents once per block.
@@ -25,16 +28,19 @@ from pyspark.sql import functions as F
 
 from ratecraft.llm.common import slices, text_of
 
-PASSAGE = 100
+PASSAGE = 50
+STRIDE = 15
 #: One edit is allowed for so many characters.
 PER_ERROR = 10
 #: Shorter items say too little to be looked for in pieces; they must occur as they are, as whole words.
 LEAST = 40
-BLOCK = 10_000
+BLOCK = 30_000
 
 #: Characters of a passage that the first comparison looks at, and hits that it takes at once.
 WORD = 64
 HITS = 16_384
+#: Letters that the first comparison tells apart.
+SLOTS = 127
 
 _fold = re.compile(r"[\W_]+").sub
 _ascii = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
@@ -47,12 +53,12 @@ def folded(text: str) -> str:
     return _fold(" ", text).strip()
 
 
-def passages(item: str, size: int = PASSAGE) -> list[str]:
-    """Overlapping passages of equal length that cover the folded item."""
+def passages(item: str, size: int = PASSAGE, stride: int = STRIDE) -> list[str]:
+    """Overlapping passages of equal length that cover the folded item, ``stride`` apart at most."""
     if len(item) <= size:
         return [item] if item else []
-    n = -(-2 * (len(item) - size) // size) + 1
-    return [item[a:a + size] for a in (round(i * (len(item) - size) / (n - 1)) for i in range(n))]
+    n = -(-(len(item) - size) // stride) + 1
+    return [item[a:a + size] for a in (i * (len(item) - size) // (n - 1) for i in range(n))]
 
 
 def budget(passage: str, per_error: int = PER_ERROR) -> int:
@@ -125,12 +131,12 @@ class Finder:
     def __init__(self, rows: list[tuple[int, str]]):
         import ahocorasick
 
-        self.rows = [(item, text, budget(text), masks(text)) for item, text in rows]
+        self.rows = [(item, text, budget(text)) for item, text in rows]
         self.automaton = ahocorasick.Automaton()
         found: dict[str, list[tuple[int, int, int]]] = {}
         parts: list[tuple[int, str]] = []
         numbers: dict[tuple[int, int], int] = {}
-        for n, (_, text, errors, _) in enumerate(self.rows):
+        for n, (_, text, errors) in enumerate(self.rows):
             for start, piece in pieces(text if errors else f" {text} ", errors):
                 # The characters around the piece; an item that must occur as it is has only itself.
                 left = min(max(0, start - (WORD - len(piece)) // 2), max(0, len(text) - WORD))
@@ -144,13 +150,13 @@ class Finder:
             self.automaton.make_automaton()
         self.empty = not found
         letters = sorted({c for _, part in parts for c in part})
-        self.code = np.zeros(0x110000, dtype=np.uint16 if len(letters) < 65_000 else np.uint32)
-        self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
-        number = {c: i for i, c in enumerate(letters, 1)}
-        self.eq = np.zeros((len(parts), len(letters) + 1), dtype=np.uint64)
+        slot = {c: 1 + i % SLOTS for i, c in enumerate(letters)}
+        self.code = np.zeros(0x110000, dtype=np.uint8)
+        self.code[[ord(c) for c in letters]] = list(slot.values())
+        self.eq = np.zeros((len(parts), min(len(letters), SLOTS) + 1), dtype=np.uint64)
         for i, (_, part) in enumerate(parts):
             for c, bits in masks(part).items():
-                self.eq[i, number[c]] = bits
+                self.eq[i, slot[c]] |= np.uint64(bits)
         self.left = np.array([left for left, _ in parts], dtype=np.int64)
         self.size = np.array([len(part) for _, part in parts], dtype=np.int64)
         self.errors = np.array([row[2] for row in self.rows], dtype=np.int64)
@@ -177,9 +183,9 @@ class Finder:
         ends = np.cumsum([len(t) for t in texts])
         for i in range(0, len(held), HITS):
             for d, n, at, _ in self._near(held[i:i + HITS], codes, ends):
-                item, passage, errors, where = self.rows[n]
+                item, passage, errors = self.rows[n]
                 low = max(0, at - errors)
-                distance, end = nearest(passage, where, texts[d][low:at + len(passage) + errors + (2 if not errors else 0)])
+                distance, end = nearest(passage, masks(passage), texts[d][low:at + len(passage) + errors + (2 if not errors else 0)])
                 if distance <= errors:
                     hit = (distance, max(0, low + end - len(passage) - 1), low + end - 1)
                     out[d][item] = min(out[d].get(item, hit), hit)

@@ -98,3 +98,31 @@ def test_distances_side_by_side(cases_):
 @given(st.text(max_size=60))
 def test_folding_is_the_same_for_ascii(text):
     assert d.folded(text) == d._fold(" ", text.lower()).strip()
+
+
+def test_fragments_of_an_item_are_found():
+    rng = random.Random(8)
+    items = [words(rng, 40) for _ in range(6)]
+    finder = d.Finder([(i, p) for i, t in enumerate(items) for p in d.passages(d.folded(t))])
+    for i, item in enumerate(items):
+        for size in (d.PASSAGE + d.STRIDE, 80, 120):
+            for at in range(0, len(item) - size, 7):
+                piece = item[at:at + size].strip()
+                if len(piece) >= d.PASSAGE + d.STRIDE:
+                    assert set(finder.find(f"zeta {piece} quux")) == {i}
+        # A tenth of edits, spread over the fragment: brute force tells which passages are near enough.
+        for at in range(0, len(item) - 100, 31):
+            text = d.folded(f"zeta {changed(rng, item[at:at + 100], 8)} quux")
+            near = {k for k, t in enumerate(items) for p in d.passages(d.folded(t)) if edit_distance(p, text) <= d.budget(p)}
+            assert set(finder.find(text)) == near
+
+
+def test_many_letters_take_little_memory_and_long_texts_are_read_to_their_end():
+    rng = random.Random(9)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    rows = [(i, "".join(rng.choices(letters, k=d.PASSAGE))) for i in range(2000)]
+    finder = d.Finder(rows)
+    assert finder.eq.nbytes * d.BLOCK // len(rows) < 100_000_000
+    assert set(finder.find("".join(rng.choices(letters, k=200)) + changed(rng, rows[7][1], 4))) == {7}
+    assert set(finder.find("".join(rng.choices(letters, k=1_000_000)) + " " + rows[9][1])) == {9}
+    assert finder.find("".join(rng.choices(letters, k=2000))) == {}
