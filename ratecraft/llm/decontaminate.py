@@ -5,9 +5,10 @@ passages of ``PASSAGE`` characters, one every ``STRIDE`` at least, so that every
 ``PASSAGE + STRIDE`` characters holds a whole one; a passage of n characters may differ by
 ``n // PER_ERROR`` edits. Cut into that number plus one pieces, one piece at least is unharmed wherever
 the passage occurs within its budget. One pass over a document (Aho-Corasick) finds all pieces, and
-the text around each is compared with the passage by Myers' bit-parallel edit distance: first 64 characters
-of the passage around the piece, for many hits at once in 64-bit arrays (a part of a passage is never
-farther from the text than the whole), then the whole passage where that part was near enough.
+the text around each is compared with the passage by Myers' bit-parallel edit distance: first the piece and
+its neighbour, for many hits at once in 64-bit arrays, then the whole passage where they were near enough.
+The neighbours are fixed groups of two or three pieces; as there are more pieces than edits, some group has fewer
+edits than pieces, so it holds an unharmed piece and is within that smaller budget of the text around.
 The arrays hold ``SLOTS`` letters per part whatever the script; letters that share a slot count as equal
 there, which can only let a hit through to the exact comparison.
 
@@ -36,9 +37,9 @@ PER_ERROR = 10
 LEAST = 40
 BLOCK = 30_000
 
-#: Characters of a passage that the first comparison looks at, and hits that it takes at once.
+#: Characters of a group that the first comparison looks at, at most, and hits that it takes at once.
 WORD = 64
-HITS = 16_384
+HITS = 8192
 #: Letters that the first comparison tells apart.
 SLOTS = 127
 
@@ -71,6 +72,12 @@ def pieces(passage: str, errors: int) -> list[tuple[int, str]]:
     return [(a, passage[a:b]) for a, b in zip(at, at[1:])]
 
 
+def groups(n: int) -> list[tuple[int, int]]:
+    """For each of n pieces the (first, last) of its group: two neighbours, three at an odd end."""
+    pairs = max(1, n // 2)
+    return [(2 * g, n - 1 if g == pairs - 1 else 2 * g + 1) for g in (min(k // 2, pairs - 1) for k in range(n))]
+
+
 def masks(pattern: str) -> dict[str, int]:
     out: dict[str, int] = {}
     for i, c in enumerate(pattern):
@@ -133,33 +140,38 @@ class Finder:
 
         self.rows = [(item, text, budget(text)) for item, text in rows]
         self.automaton = ahocorasick.Automaton()
-        found: dict[str, list[tuple[int, int, int]]] = {}
-        parts: list[tuple[int, str]] = []
+        found: dict[str, list[tuple[int, int, int]]] = {}  # piece -> (passage, start, part) of its uses
+        parts: list[tuple[int, str, int]] = []  # start, characters, budget
         numbers: dict[tuple[int, int], int] = {}
         for n, (_, text, errors) in enumerate(self.rows):
-            for start, piece in pieces(text if errors else f" {text} ", errors):
-                # The characters around the piece; an item that must occur as it is has only itself.
-                left = min(max(0, start - (WORD - len(piece)) // 2), max(0, len(text) - WORD))
+            cut = pieces(text if errors else f" {text} ", errors)
+            for (start, piece), (one, other) in zip(cut, groups(len(cut)), strict=True):
+                # The group, or the characters around the piece; an item that must occur as it is has only itself.
+                begin, end = cut[one][0], min(cut[other][0] + len(cut[other][1]), len(text))
+                left = min(max(begin, start - (WORD - len(piece)) // 2), max(begin, end - WORD))
                 part = numbers.setdefault((n, left), len(parts))
                 if part == len(parts):
-                    parts.append((left, text[left:left + WORD]))
+                    parts.append((left, text[left:min(end, left + WORD)], other - one))
                 found.setdefault(piece, []).append((n, start, part))
-        for piece, uses in found.items():
-            self.automaton.add_word(piece, (len(piece), uses))
+        for k, piece in enumerate(found):
+            self.automaton.add_word(piece, k)
+        self.width = np.array([len(piece) for piece in found], dtype=np.int64)
+        self.uses = np.array([use for uses in found.values() for use in uses], dtype=np.int64).reshape(-1, 3)
+        self.begins = np.cumsum([0] + [len(uses) for uses in found.values()])
         if found:
             self.automaton.make_automaton()
         self.empty = not found
-        letters = sorted({c for _, part in parts for c in part})
+        letters = sorted({c for _, part, _ in parts for c in part})
         slot = {c: 1 + i % SLOTS for i, c in enumerate(letters)}
         self.code = np.zeros(0x110000, dtype=np.uint8)
         self.code[[ord(c) for c in letters]] = list(slot.values())
         self.eq = np.zeros((len(parts), min(len(letters), SLOTS) + 1), dtype=np.uint64)
-        for i, (_, part) in enumerate(parts):
+        for i, (_, part, _) in enumerate(parts):
             for c, bits in masks(part).items():
                 self.eq[i, slot[c]] |= np.uint64(bits)
-        self.left = np.array([left for left, _ in parts], dtype=np.int64)
-        self.size = np.array([len(part) for _, part in parts], dtype=np.int64)
-        self.errors = np.array([row[2] for row in self.rows], dtype=np.int64)
+        self.left = np.array([left for left, _, _ in parts], dtype=np.int64)
+        self.size = np.array([len(part) for _, part, _ in parts], dtype=np.int64)
+        self.slack = np.array([slack for _, _, slack in parts], dtype=np.int64)
 
     def find(self, text: str) -> dict[int, tuple[int, int, int]]:
         return self.find_all([text])[0]
@@ -170,19 +182,10 @@ class Finder:
         if self.empty:
             return out
         texts = [f" {folded(t)} " for t in texts]
-        held: list[tuple[int, int, int, int]] = []
-        for d, text in enumerate(texts):
-            seen: set[tuple[int, int]] = set()
-            for last, (width, uses) in self.automaton.iter(text):
-                for n, start, part in uses:
-                    at = last + 1 - width - start
-                    if (n, at) not in seen:
-                        seen.add((n, at))
-                        held.append((d, n, at, part))
-        codes = self.code[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)] if held else None
+        codes = self.code[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         ends = np.cumsum([len(t) for t in texts])
-        for i in range(0, len(held), HITS):
-            for d, n, at, _ in self._near(held[i:i + HITS], codes, ends):
+        for places in self._places(texts):
+            for d, n, at in self._near(places, codes, ends):
                 item, passage, errors = self.rows[n]
                 low = max(0, at - errors)
                 distance, end = nearest(passage, masks(passage), texts[d][low:at + len(passage) + errors + (2 if not errors else 0)])
@@ -191,18 +194,42 @@ class Finder:
                     out[d][item] = min(out[d].get(item, hit), hit)
         return out
 
-    def _near(self, hits: list[tuple[int, int, int, int]], codes: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """Those hits whose part of the passage is within the budget of the text around."""
-        d, n, at, part = np.array(hits, dtype=np.int64).T
-        errors = self.errors[n]
-        begin = np.concatenate([[0], ends[:-1]])[d]
-        first = begin + at + self.left[part] - errors
-        length = self.size[part] + 2 * errors + 2
-        place = first[:, None] + np.arange(int(length.max()))
-        inside = (place >= begin[:, None]) & (place < ends[d][:, None])
-        around = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], 0)
-        best = distances(self.eq, part, self.size[part], around)
-        return [hits[i] for i in np.flatnonzero(best <= errors)]
+    def _places(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Where pieces say that a passage may be: rows of (text, passage, place of its start, part)."""
+        held: list[np.ndarray] = []
+        size = 0
+        for d, text in enumerate(texts):
+            found = np.array(list(self.automaton.iter(text)), dtype=np.int64).reshape(-1, 2)
+            held.append(np.column_stack([np.full(len(found), d), found]))
+            size += len(found)
+            if size >= HITS or d + 1 == len(texts):
+                hits = np.concatenate(held)
+                held, size = [], 0
+                for i in range(0, len(hits), HITS):
+                    yield self._uses(*hits[i:i + HITS].T)
+
+    def _uses(self, d: np.ndarray, last: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        n = self.begins[piece + 1] - self.begins[piece]
+        row = np.repeat(np.arange(len(piece)), n)
+        passage, start, part = self.uses[np.arange(len(row)) + np.repeat(self.begins[piece] - (np.cumsum(n) - n), n)].T
+        at = last[row] + 1 - self.width[piece[row]] - start
+        order = np.lexsort((part, at, passage, d[row]))
+        out = np.column_stack([d[row], passage, at, part])[order]
+        return out[np.r_[True, (np.diff(out, axis=0) != 0).any(axis=1)]] if len(out) else out
+
+    def _near(self, places: np.ndarray, codes: np.ndarray, ends: np.ndarray) -> Iterator[list[int]]:
+        """(text, passage, place) where the group around the piece is within its budget of the text."""
+        for i in range(0, len(places), HITS):
+            d, _, at, part = places[i:i + HITS].T
+            slack = self.slack[part]
+            begin = np.concatenate([[0], ends[:-1]])[d]
+            first = begin + at + self.left[part] - slack
+            length = self.size[part] + 2 * slack + 2
+            place = first + np.arange(int(length.max()))[:, None]
+            inside = (place >= begin) & (place < ends[d])
+            around = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], 0)
+            best = distances(self.eq, part, self.size[part], around.T)
+            yield from places[i:i + HITS][best <= slack][:, :3].tolist()
 
 
 SCHEMA = "doc_id long, item_id long, distance long, start long, end long"

@@ -111,7 +111,7 @@ def test_fragments_of_an_item_are_found():
                 if len(piece) >= d.PASSAGE + d.STRIDE:
                     assert set(finder.find(f"zeta {piece} quux")) == {i}
         # A tenth of edits, spread over the fragment: brute force tells which passages are near enough.
-        for at in range(0, len(item) - 100, 31):
+        for at in range(0, len(item) - 100, 97):
             text = d.folded(f"zeta {changed(rng, item[at:at + 100], 8)} quux")
             near = {k for k, t in enumerate(items) for p in d.passages(d.folded(t)) if edit_distance(p, text) <= d.budget(p)}
             assert set(finder.find(text)) == near
