@@ -65,6 +65,14 @@ def content_top_n(v):
     return rounded(content_vectors(v).top_lists(3), PREDICTION)
 
 
+@query("ord_03_bounded_top_n", uses="content_full", sql="""
+    SELECT user_id, business_id, round(prediction, 6) AS prediction, rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(prediction, 6) DESC, business_id) AS rank
+      FROM content_full) WHERE rank <= 10""")
+def bounded_top_n(v):
+    return rounded(content_vectors(v).bounded_lists(10), PREDICTION)
+
+
 @query("mod_01_bias", uses="predictions", sql="""
     SELECT user_id, business_id, rating, round(prediction, 6) AS prediction FROM predictions""")
 def bias(v):

@@ -143,6 +143,36 @@ def test_pair_scores_equal_the_full_product(reviews, monkeypatch, tile, dense):
         assert [best[u, n + 1] for n in range(len(scores))] == pytest.approx(scores)
 
 
+def test_bounds_skip_blocks_of_items_and_lose_no_list(spark, monkeypatch):
+    """Users of a topic skip the other topics' blocks; ties, short lists and users without a common term stay right."""
+    monkeypatch.setattr(content, "TILE", 6)
+    rng = random.Random(21)
+    users, items = [], []
+    for topic in range(6):
+        for k in range(18):
+            words = [0, *rng.sample(range(1, 12), 5)]
+            items += [(100 * topic + k, f"t{topic}w{w}", rng.choice([0.25, 0.5, 1.0])) for w in words] + [(100 * topic + k, "all", 0.01)]
+            users += [(1000 * topic + k, f"t{topic}w{w}", 0.5) for w in words[:4]] + [(1000 * topic + k, "all", 0.01)]
+    users += [(9000, "nobody", 1.0), (9001, "t0w0", 1.0), (None, "all", 1.0)]
+    found = content.ContentVectors(spark.createDataFrame(users, "user_id long, term string, weight double"),
+                                   spark.createDataFrame(items, "business_id long, term string, weight double"))
+    of = {}
+    for i, t, w in items:
+        of.setdefault(i, {})[t] = w
+    want = {}
+    for u in {u for u, _, _ in users if u is not None}:
+        scores = {i: sum(w * of[i].get(t, 0.0) for v, t, w in users if v == u) for i in of}
+        for rank, (score, i) in enumerate(sorted((-round(s, 6), i) for i, s in scores.items() if s)[:3], 1):
+            want[u, rank] = (i, -score)
+    got = {(r.user_id, r["rank"]): (r.business_id, round(r.prediction, 6)) for r in found.bounded_lists(3).collect()}
+    assert got == want
+    tiles = found.search(3)[1].groupBy("scored").count().collect()
+    counts = {r.scored: r["count"] for r in tiles}
+    assert counts[False] > counts[True]
+    none = content.ContentVectors(found.users.limit(0), found.items.limit(0))
+    assert none.bounded_lists(3).count() == 0
+
+
 def test_network_takes_string_ids_and_ignores_partitions(spark, planted):
     train, test = planted
     name = lambda df: df.withColumn("user_id", F.concat(F.lit("u"), F.col("user_id"))).withColumn("business_id", F.concat(F.lit("b"), F.col("business_id")))
