@@ -173,6 +173,23 @@ def test_bounds_skip_blocks_of_items_and_lose_no_list(spark, monkeypatch):
     assert none.bounded_lists(3).count() == 0
 
 
+def test_cross_validator_takes_the_bias_model(planted):
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from ratecraft.models.estimators import BiasEstimator, rmse
+    from ratecraft.operators.splits import folds
+
+    ratings = planted[0].select("user_id", "business_id", "rating")
+    bias = BiasEstimator(epochs=2)
+    grid = ParamGridBuilder().addGrid(bias.regUser, [15.0, 500.0]).build()
+    found = CrossValidator(estimator=bias, estimatorParamMaps=grid, evaluator=rmse(), numFolds=2, foldCol="fold",
+                           parallelism=2).fit(folds(ratings, 2))
+    for point, weight in enumerate((15.0, 500.0)):
+        plain = tuning.cross_validate_bias(ratings, 2, BiasModel(epochs=2, reg_user=weight)).collect()
+        assert found.avgMetrics[point] == pytest.approx(sum(r.rmse for r in plain) / 2)
+    assert "prediction" in found.transform(ratings).columns
+
+
 def test_network_takes_string_ids_and_ignores_partitions(spark, planted):
     train, test = planted
     name = lambda df: df.withColumn("user_id", F.concat(F.lit("u"), F.col("user_id"))).withColumn("business_id", F.concat(F.lit("b"), F.col("business_id")))
