@@ -19,7 +19,9 @@ def rounded(df, *columns, places=6):
 
 
 def wide(v):
-    return rel.wide_table(v.ratings, v.business, v.users, v.tip)
+    """Texts come last: the joins before move documents' numbers."""
+    table = rel.wide_table(v.ratings, v.business, v.users, v.tip_marks)
+    return rel.with_texts(table, v.tip_texts, "doc_id", ["compliment_count"])
 
 
 @query("prj_01_triples", uses="train test", sql="""

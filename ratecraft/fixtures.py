@@ -91,14 +91,21 @@ class Views:
             "user_id % 37 AS fans", "mean_rating AS average_stars",
             *(f"user_id % {m} AS compliment_{kind}" for kind, m in COMPLIMENT_MODULI.items()))
 
+    @cached_property
+    def tip_texts(self) -> DataFrame:
+        return self.raw("documents").select("doc_id", "text")
+
+    @cached_property
+    def tip_marks(self) -> DataFrame:
+        """Tips with the number of their document in place of its text."""
+        n_docs = self.tip_texts.agg(F.count(F.lit(1))).scalar()
+        marked = self.ratings.filter((F.col(USER) + F.col(ITEM)) % 4 == 0)
+        return marked.select(ITEM, USER, ((F.col(USER) * 31 + F.col(ITEM)) % n_docs).alias("doc_id"), "date",
+                             ((F.col(USER) + F.col(ITEM)) % 3).alias("compliment_count"))
+
     @cached_property
     def tip(self) -> DataFrame:
-        texts = self.raw("documents").select("doc_id", "text")
-        n_docs = texts.agg(F.count(F.lit(1))).scalar()
-        marked = self.ratings.filter((F.col(USER) + F.col(ITEM)) % 4 == 0).withColumn(
-            "doc_id", (F.col(USER) * 31 + F.col(ITEM)) % n_docs)
-        return marked.join(texts, "doc_id").select(
-            ITEM, USER, "text", "date", ((F.col(USER) + F.col(ITEM)) % 3).alias("compliment_count"))
+        return self.tip_marks.join(self.tip_texts, "doc_id").select(ITEM, USER, "text", "date", "compliment_count")
 
     @cached_property
     def reviews(self) -> DataFrame:

@@ -88,8 +88,23 @@ def wide_table(ratings: DataFrame, business: DataFrame, users: DataFrame, tips:
     shared = [c for c in business.columns if c in users.columns]
     left = business.withColumnsRenamed({c: f"{c}_x" for c in shared})
     right = users.withColumnsRenamed({c: f"{c}_y" for c in shared})
-    return (ratings.join(left, ITEM, "left").join(right, USER, "left")
-            .join(tips, [ITEM, USER, "date"], "left"))
+    keys = [ITEM, USER, "date"]
+    # The narrow tables first: a row gets wide in the last shuffle only.
+    joined = ratings.join(tips, keys, "left").join(left, ITEM, "left").join(right, USER, "left")
+    sides = (ratings.columns, left.columns, right.columns, tips.columns)
+    return joined.select(*keys, *(c for columns in sides for c in columns if c not in keys))
+
+
+def with_texts(table: DataFrame, texts: DataFrame, key: str, also: Sequence[str] = ()) -> DataFrame:
+    """``table`` with the text of each row's ``key`` in its place; a row without one loses the columns ``also``, too.
+
+    A text is shuffled once, and not once per row. Rows without a key are spread by a hash of their pair.
+    """
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*PAIR)).otherwise(F.lit(0).cast("long"))
+    found = texts.select(key, F.lit(0).cast("long").alias("_spread"), "text", F.lit(True).alias("_found"))
+    joined = table.withColumn("_spread", spread).join(found, [key, "_spread"], "left")
+    kept = {c: F.when(F.col("_found"), F.col(c)).alias(c) for c in also}
+    return joined.select(*(F.col("text") if c == key else kept.get(c, F.col(c)) for c in table.columns))
 
 
 def scored_pairs(predictions: DataFrame, actual: DataFrame) -> DataFrame:
