@@ -64,3 +64,20 @@ def test_bias_is_the_alternating_mean(spark, ratings):
                 keys[k] = sum(x) / (weight + len(x))
     assert {r.user_id: r.b_u for r in fitted.users.collect()} == pytest.approx(dict(users))
     assert {r.business_id: r.b_i for r in fitted.items.collect()} == pytest.approx(dict(items))
+
+
+def test_ids_of_the_larger_side_are_sent_once(spark, ratings, monkeypatch):
+    """Both sides' steps use the same blocks: users go to one block each, but for those that are cut, and items to every block."""
+    monkeypatch.setattr(routes, "CHUNK", 7)
+    laid = routes.Routes(spark.createDataFrame(ratings, SCHEMA), "rating", 50)
+    sent = {k: t.agg(F.sum(F.size("far")), F.count(F.lit(1))).first() for k, t in laid.ids.items()}
+    assert sent["user_id"][0] <= sent["user_id"][1] + laid.blocks
+    assert sent["business_id"][0] <= sent["business_id"][1] * laid.blocks
+    items = laid.ids["business_id"]
+    got = laid.step("business_id", items, (), laid.ids["user_id"].withColumn("x", F.lit(1.0)), ("x",),
+                    lambda value, at, to, begins, own, far: np.add.reduceat(far[to] * value[:, None], begins), ("a",)).collect()
+    want = defaultdict(float)
+    for _, i, r in ratings:
+        want[i] += r
+    assert {r.business_id: r.a for r in got} == pytest.approx(dict(want))
+    laid.close()
