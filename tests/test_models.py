@@ -231,3 +231,22 @@ def test_jobs_and_sweeps(planted):
     assert {r.batch_size for r in neural_rows} == {64, 128} and min(r.rank_test_score for r in neural_rows) == 1
     row = jobs.interaction_job(whole, LogisticModel(factors=2, epochs=2), 5).first()
     assert 0 <= row.test_auc_mean <= 1 and 0 <= row.train_precision <= 1
+
+
+def test_als_lists_do_not_pair_the_blocks_of_the_fit(spark, planted):
+    """The factors' partitions follow their size, and the lists are those of the factors."""
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        fitted = AlsModel(rank=3).fit(planted[0])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    factors = fitted.model.userFactors, fitted.model.itemFactors
+    assert all(f.rdd.getNumPartitions() <= 12 for f in factors)
+    users, items = ({r.id: np.array(r.features) for r in f.collect()} for f in factors)
+    got = {}
+    for r in fitted.recommend(2).collect():
+        got.setdefault(r.user_id, []).append(r.prediction)
+    assert len(got) == len(users)
+    for user, best in got.items():
+        scores = sorted((float(users[user] @ v) for v in items.values()), reverse=True)[:2]
+        assert sorted(best, reverse=True) == pytest.approx(scores, abs=1e-4)
