@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from ratecraft.metrics import accuracy, coverage, diversity, report, serendipity, toplist
@@ -271,3 +272,29 @@ def test_rank_by_rating_option(data):
     prob = item_probability(corpus(df["train"], df["test"]))
     row = serendipity.serendipity(df["test"], df["preds"], prob, rank_by="rating").first()
     assert 0 <= row.avg_serendipity <= 1
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_profile_distance_moves_no_vector_for_a_pair(spark, monkeypatch, capsys, parts):
+    """Groups of users meet parts of the items; ids of several vectors count with the nearest, pairs of none are left out."""
+    monkeypatch.setattr(serendipity, "PART_ENTRIES", -(-26 // parts))
+    monkeypatch.setattr(serendipity, "GROUP_PAIRS", 9)
+    vectors = [(i, [math.cos(i), math.sin(i)]) for i in range(10)] + [(3, [0.0, 1.0]), (4, [0.0, 0.0]), (None, [1.0, 0.0])]
+    owned = [(u, (u * 3 + j) % 12) for u in range(8) for j in range(4)] * 2 + [(None, 1), (1, None)]
+    recs = [(u, (u * 5 + j) % 11) for u in range(9) for j in range(2)] + [(None, 2)]
+    pairs = "user_id long, business_id long"
+    profile, listed = spark.createDataFrame(owned, pairs), spark.createDataFrame(recs, pairs)
+    content = spark.createDataFrame(vectors, "business_id long, features array<double>")
+    nearest = serendipity.nearest_profile_distance(profile, listed, content)
+    got = {(r.user_id, r.business_id): r.min_dist for r in nearest.collect()}
+    want = {}
+    for u, i in recs:
+        near = [1 - (x @ y) / np.linalg.norm(x) / np.linalg.norm(y) for v, j in owned if u is not None and v == u
+                for a, x in ((a, np.array(x)) for a, x in vectors) for b, y in ((b, np.array(y)) for b, y in vectors)
+                if a == i and b == j and x.any() and y.any()]
+        if near:
+            want[u, i] = min(near)
+    assert got == pytest.approx(want, abs=1e-9)
+    nearest.explain()
+    plan = capsys.readouterr().out
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list(struct" not in plan
