@@ -14,7 +14,9 @@ into powers of two, which need no padding.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,6 +47,8 @@ class WordIds(dict):
     #: Words that the second cache may split by the tokenizer's own pattern.
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
     PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+").findall
+    #: The tokenizer's letter for each byte, where PLAIN words have bytes of 128 and more.
+    LETTERS = {b: b + 162 if b < 161 else 323 if b == 173 else b for b in range(128, 256)}
     #: White space for Python, but not for the tokenizer; and the start of its special tokens.
     UNLIKE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -52,11 +56,21 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def encode_piece(self, piece: str) -> bytes:
+        """As ``encode``, for one lower-case piece of a plain word: normal form and split are known, so the model alone is asked."""
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.LETTERS)
+        ids = array("I", [token.id for token in self.model.tokenize(piece)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def __missing__(self, word: str) -> bytes:
         if len(self) > CACHED_WORDS:
             self.clear()
@@ -66,7 +80,7 @@ class WordIds(dict):
             for piece in self.PIECES(word.lower()):
                 ids = known.get(piece)
                 if ids is None:
-                    ids = known[piece] = self.encode(piece)
+                    ids = known[piece] = self.encode_piece(piece)
                 out.append(ids)
             ids = b"".join(out)
         else:
