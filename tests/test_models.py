@@ -213,6 +213,22 @@ def test_network_weights_for_any_partitioning_and_a_hot_row(spark, planted):
     assert neural.NeuralModel(epochs=1, lane_rows=10 ** 6).fit(rows).weights != pytest.approx(fitted[0].weights, abs=1e-3)
 
 
+def test_a_sweep_lays_out_rows_once_for_each_fold(planted, monkeypatch):
+    calls = []
+    monkeypatch.setattr(neural, "positions", lambda *a, f=neural.positions, **k: calls.append(1) or f(*a, **k))
+    assert tuning.sweep_neural(planted[0].unionByName(planted[1]), (1, 2), (64,)).count() == 2
+    assert len(calls) == 2
+
+
+def test_fits_of_shared_lanes_are_those_of_their_own(planted):
+    rows = planted[0].select("user_id", "business_id", "rating")
+    model = neural.NeuralModel(epochs=2, batch_size=64, lane_rows=150)
+    lanes = model.laid_out(rows)
+    assert lanes.rows.count() == -(-rows.count() // 150)  # a row for each lane
+    assert model.fit(rows, lanes=lanes).weights == pytest.approx(model.fit(rows).weights, abs=1e-12)
+    lanes.close()
+
+
 def test_content_sweep_names_every_point(reviews):
     rows = tuning.sweep_content(reviews, ((1, 1),), (True, False)).collect()
     assert [r.model for r in rows] == ["ngram_range = (1, 1), sublinear_tf = True",
