@@ -220,6 +220,13 @@ def test_a_sweep_lays_out_rows_once_for_each_fold(planted, monkeypatch):
     assert len(calls) == 2
 
 
+def test_network_refuses_null_labels(planted):
+    rows = planted[0].select("user_id", "business_id", F.when(F.col("user_id") > 0, F.col("rating")).alias("rating"))
+    rows = rows.unionByName(rows.limit(1).withColumn("rating", F.lit(None).cast("double")))
+    with pytest.raises(ValueError, match="null"):
+        neural.NeuralModel(epochs=1).fit(rows)
+
+
 def test_fits_of_shared_lanes_are_those_of_their_own(planted):
     rows = planted[0].select("user_id", "business_id", "rating")
     model = neural.NeuralModel(epochs=2, batch_size=64, lane_rows=150)
