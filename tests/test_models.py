@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ratecraft import PAIR
 from ratecraft.metrics.accuracy import aligned_errors
-from ratecraft.models import content, neural
+from ratecraft.models import als, content, neural
 from ratecraft.models.als import AlsModel
 from ratecraft.models.bias import BiasModel
 from ratecraft.models.content import ContentModel
@@ -273,3 +273,33 @@ def test_als_lists_do_not_pair_the_blocks_of_the_fit(spark, planted):
     for user, best in got.items():
         scores = sorted((float(users[user] @ v) for v in items.values()), reverse=True)[:2]
         assert sorted(best, reverse=True) == pytest.approx(scores, abs=1e-4)
+
+
+def test_als_lists_from_tiles_are_the_best_and_equal_scores_go_by_id(spark, planted, monkeypatch, capsys):
+    """No list is made by a product of factor rows one by one; a user's lists from several tiles of items are merged."""
+    for name, value in {"TILE": 16, "LEAST_TILE": 8, "TILE_NUMBERS": 45, "HEIGHT": 3, "WIDTH": 4, "FIRST": 3}.items():
+        monkeypatch.setattr(als, name, value)
+    train = planted[0].unionByName(planted[0].select("user_id", (F.col("business_id") + 100).alias("business_id"), "rating"))  # twins: equal factors
+    fitted = AlsModel(rank=3).fit(train)
+    users, items = ({r.id: np.array(r.features, np.float32) for r in f.collect()} for f in (fitted.model.userFactors, fitted.model.itemFactors))
+    lists = fitted.recommend(5)
+    lists.explain()
+    assert not any(x in capsys.readouterr().out for x in ("CartesianProduct", "NestedLoop"))
+    got = {}
+    for r in lists.collect():
+        got.setdefault(r.user_id, []).append((-r.prediction, r.business_id))
+    assert set(got) == set(users)
+    for user, found in got.items():
+        score = {i: float(users[user] @ v) for i, v in items.items()}
+        assert [-s for s, _ in sorted(found)] == pytest.approx(sorted(score.values(), reverse=True)[:5], abs=1e-5)
+        assert all(-s == pytest.approx(score[i], abs=1e-5) for s, i in found) and len({i for _, i in found}) == 5
+
+
+def test_lists_of_equal_scores():
+    rng = np.random.default_rng(5)
+    vectors = [rng.integers(0, 2, size=(m, 3)).astype(np.float32) for m in (40, 1500)]
+    users, items = (als.pa.table({"ids": [list(range(len(v)))[::-1]], "vectors": [v.tolist()]}) for v in vectors)
+    got = als._lists(7)(users, items).to_pydict()
+    scores = vectors[0] @ vectors[1].T
+    want = [(39 - u, 1499 - i) for u in range(40) for i in sorted(range(1500), key=lambda i: (-scores[u, i], -i))[:7]]
+    assert sorted(zip(got["user_id"], got["business_id"])) == sorted(want)
