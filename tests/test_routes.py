@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.models import routes
 from ratecraft.models.bias import BiasModel
+from ratecraft.models.factor import SvdppModel
 
 SCHEMA = "user_id string, business_id long, rating double"
 
@@ -81,3 +82,28 @@ def test_ids_of_the_larger_side_are_sent_once(spark, ratings, monkeypatch):
         want[i] += r
     assert {r.business_id: r.a for r in got} == pytest.approx(dict(want))
     laid.close()
+
+
+def test_an_epoch_of_svdpp_is_one_turn_where_no_user_is_cut(spark, ratings, monkeypatch):
+    """The steps of a fit do not grow with its epochs, and both ways give the same; ids may be null."""
+    monkeypatch.setattr(routes, "CHUNK", 7)
+    monkeypatch.setattr(routes, "LEAST", 210)
+    odd = [(None, 3, 1.0), (None, 99, 5.0), ("u3", None, 2.0)]
+    rows = spark.createDataFrame(ratings + odd, SCHEMA)
+    steps, step = [], routes.Routes.step
+    monkeypatch.setattr(routes.Routes, "step", lambda *a: steps.append(1) or step(*a))
+    model = SvdppModel(factors=3, epochs=3, lr=0.3, damping=4.0)
+    fits = [model.fit(rows)]
+    assert len(steps) == 2
+    monkeypatch.setattr(routes.Routes, "undivided", lambda self, side: False)
+    fits.append(model.fit(rows))
+    assert len(steps) > 10
+    one, two = (sorted((tuple(r) for t in (f.users, f.items) for r in t.collect()), key=str) for f in fits)
+    assert len(one) == len(two) and all(a[0] == b[0] and a[1:] == pytest.approx(b[1:]) for a, b in zip(one, two))
+
+
+def test_only_ids_of_very_many_ratings_are_cut(spark, ratings):
+    laid = routes.Routes(spark.createDataFrame(ratings, SCHEMA), "rating", 60)
+    cut = {r.user_id: len(r.own) for r in laid.ids["user_id"].collect() if len(r.own) > 1}
+    assert set(cut) == {"hot"} and laid.blocks > 10 and not laid.undivided("user_id")
+    laid.close()
