@@ -25,8 +25,12 @@ from ratecraft import ITEM, USER
 from ratecraft.operators.ranking import positions
 from ratecraft.session import forget, new_path, stored_copy
 
-#: Ratings of a block at most.
+#: Ratings of a block, but for the rest of its last id, where there are many; more where the other side has many ids, as each of them
+#: may be sent to each block: so many ratings then for each of these ids, so that what is sent follows the ratings; but not over
+#: the largest.
 BLOCK = 1_048_576
+FOR_EACH = 16
+LARGEST = 4_194_304
 #: Ratings of a block that are worked on at a time.
 CHUNK = 131_072
 #: Blocks for each core where the input is small, with so many ratings at least.
@@ -145,12 +149,13 @@ def _sums(kernel: Kernel, widths: tuple[int, int], names: list[str], id_type: pa
 class Routes:
     """Ratings (user, item, value) by blocks, and the blocks where each id is wanted."""
 
-    def __init__(self, rows: DataFrame, value: str, block_rows: int = BLOCK):
+    def __init__(self, rows: DataFrame, value: str, block_rows: int | None = None):
         spark = rows.sparkSession
         rows = stored_copy(rows.select(USER, ITEM, F.col(value).cast("double").alias("value")), "rows")
         n, *different = rows.agg(F.count(F.lit(1)), F.approx_count_distinct(USER), F.approx_count_distinct(ITEM)).first()
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.size = max(1, min(block_rows, max(LEAST, -(-n // (SPREAD * spark.sparkContext.defaultParallelism)))))
+        whole = block_rows or max(BLOCK, min(LARGEST, FOR_EACH * min(different)))
+        self.size = max(1, min(whole, max(LEAST, -(-n // (SPREAD * spark.sparkContext.defaultParallelism)))))
         self.blocks = max(1, -(-n // self.size))
         #: At least as many buckets as Spark would take, so that it leaves the ratings where they are.
         self.buckets = max(tasks, -(-self.blocks // 8))

@@ -107,3 +107,16 @@ def test_only_ids_of_very_many_ratings_are_cut(spark, ratings):
     cut = {r.user_id: len(r.own) for r in laid.ids["user_id"].collect() if len(r.own) > 1}
     assert set(cut) == {"hot"} and laid.blocks > 10 and not laid.undivided("user_id")
     laid.close()
+
+
+def test_blocks_grow_with_the_ids_that_are_sent_to_them(spark, monkeypatch):
+    """Ids of the smaller side that every block asks for: what is sent grows with the ratings, not with ids times blocks."""
+    monkeypatch.setattr(routes, "LEAST", 50)
+    monkeypatch.setattr(routes, "BLOCK", 50)
+    sent = []
+    for times in (1, 4):
+        rows = [(u, (u * 7 + j * 13) % (100 * times), 1.0) for u in range(400 * times) for j in range(10)]
+        laid = routes.Routes(spark.createDataFrame(rows, "user_id long, business_id long, rating double"), "rating")
+        sent.append(laid.ids["business_id"].agg(F.sum(F.size("far"))).first()[0] / len(rows))
+        laid.close()
+    assert max(sent) < 0.3
