@@ -12,6 +12,7 @@ from ratecraft.metrics import accuracy, coverage, diversity, report, serendipity
 from ratecraft.metrics.novelty import item_probability, novelty
 from ratecraft.operators import ranking
 from ratecraft.operators.relational import corpus
+from ratecraft.plans import jobs
 
 SCHEMA = "user_id long, business_id long, {} double"
 
@@ -240,6 +241,29 @@ def test_auc_and_precision_by_factors(spark, data, monkeypatch, block, ties):
     assert precision == pytest.approx({u: v[1] for u, v in expected.items()})
 
 
+@pytest.mark.parametrize("ties", [False, True])
+def test_users_are_scored_once_for_train_and_test(spark, data, monkeypatch, ties):
+    """Pairs of both, users cut into parts, and rows of few items."""
+    for name, value in (("BLOCK", 3), ("ITEM_ROW", 2), ("HITS", 2), ("BUCKET", 4)):
+        monkeypatch.setattr(toplist, name, value)
+    raw, df = data
+    rng = random.Random(3)
+    draw = (lambda: rng.choice([0.0, 0.5])) if ties else (lambda: rng.uniform(-1, 1))
+    users, items = ({x: [draw(), draw()] for x in range(n)} for n in (6, 12))
+    uf = spark.createDataFrame([(u, *x) for u, x in users.items()], "user_id long, bu double, p0 double")
+    itf = spark.createDataFrame([(i, *x) for i, x in items.items()], "business_id long, bi double, q0 double")
+    test = df["test"].select("user_id", "business_id").unionByName(df["train"].limit(3).select("user_id", "business_id"))
+    both = [(r.user_id, r.business_id) for r in test.collect()]
+    pairs = jobs.rated_pairs(df["train"], spark.createDataFrame(both, "user_id long, business_id long"))
+    places, n = toplist.pair_places(uf, itf, pairs, 1)
+    found = toplist.user_measures(places, n, 3, {"train": (1, 1), "test": (0, 2)}).collect()
+    known, held = sets_of(raw["train"]), sets_of(both)
+    score = lambda u, i: items[i][0] + users[u][1] * items[i][1]
+    for part, hits, exclude in (("train", known, defaultdict(set)), ("test", held, {u: x - held[u] for u, x in known.items()})):
+        expected = brute_ranking(score, hits, defaultdict(set, exclude), items, 3)
+        assert {r.user_id: (r.auc, r.precision) for r in found if r.part == part} == {u: pytest.approx(tuple(v)) for u, v in expected.items()}
+
+
 def test_precision_of_equal_scores_is_at_most_one(spark):
     users = spark.createDataFrame([(1, 0.0, 1.0)], "user_id long, bu double, p0 double")
     items = spark.createDataFrame([(i, 0.0, 1.0) for i in range(30)], "business_id long, bi double, q0 double")
