@@ -1,9 +1,11 @@
 """Ratings laid out by blocks: what a step sends, and sums of ids that are cut over several blocks."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,24 @@ def test_blocks_grow_with_the_ids_that_are_sent_to_them(spark, monkeypatch):
         sent.append(laid.ids["business_id"].agg(F.sum(F.size("far"))).first()[0] / len(rows))
         laid.close()
     assert max(sent) < 0.3
+
+
+def test_a_turn_holds_the_states_once(monkeypatch):
+    """numpy's own memory of a turn: the items' states, which become what is sent back, and little more."""
+    monkeypatch.setattr(routes, "CHUNK", 1024)
+    monkeypatch.setattr("ratecraft.models.factor.CHUNK", 1024)
+    k, n, width = 20, 20_000, 41
+    rng = np.random.default_rng(1)
+    at, to = np.sort(rng.integers(0, 50, n)).astype(np.int32), rng.permutation(n).astype(np.int32)
+    whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
+    block = pa.table({"block": pa.array([3], pa.int32()), "own": whole(np.arange(50)), "far": whole(np.arange(n)), "at": pa.array([at.tobytes()]),
+                      "to": pa.array([to.tobytes()]), "value": pa.array([np.ones(n).tobytes()])})
+    sent = [pa.table({"mine": pa.array([own] * len(ids), pa.bool_()), "id": ids, "x": x}) for own, ids, x in (
+        (False, pa.array(np.arange(n)[::-1].copy()), pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(rng.normal(size=n * width)))),
+        (True, pa.nulls(1, pa.int64()), whole(rng.normal(size=50 * (k + 1)))))]
+    turn, before = routes._turned(SvdppModel(factors=k)._turn(1.0), (k + 1, width), pa.int64()), pa.total_allocated_bytes()
+    tracemalloc.start()
+    out = turn(block, pa.concat_tables(sent))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.num_rows == n + 1 and peak < 1.6 * n * width * 8 and pa.total_allocated_bytes() - before < n * width * 4
